@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.operators import timestamps, units
-from sheetloom.tables import table
+from sheetloom.operators import drift, nested, timestamps, units
+from sheetloom.tables import materialise, table
 
 
 def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,5 +59,40 @@ def p5_basis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quantities(spark, sf_dir).groupBy("rec_src", "basis", "unit").agg(F.count("*").alias("n_values"), F.count_if(~F.col("is_unique")).alias("n_not_unique"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_zone_use, p5_found, p5_basis)}
+def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    states = nested.record_nodes(table(spark, sf_dir, "processing_state"), "state_id", "parsed_json_data").withColumn("rec_src", F.lit("processing_state"))
+    tables = nested.record_nodes(table(spark, sf_dir, "extraction_result"), "extraction_id", "tables_json").withColumn("rec_src", F.lit("extraction_result"))
+    return states.unionByName(tables)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each object that is an array's element, with the nearest such object around it."""
+    return _nodes(spark, sf_dir).where("is_item").select("rec_src", "rec_id", "obj_path", "parent_path")
+
+
+def p6_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat tables of both sources: rows, those with a parent, and columns of each."""
+    nodes = materialise(_nodes(spark, sf_dir))
+    out = None
+    for src in ("processing_state", "extraction_result"):
+        own = nodes.where(F.col("rec_src") == src)
+        rows = nested.shred(own, nested.schema_graph(own))
+        columns = rows.select("table_name", F.explode(F.map_keys("cells")).alias("c")).groupBy("table_name").agg(F.countDistinct("c").alias("n_columns"))
+        part = rows.groupBy("table_name").agg(F.count("*").alias("n_rows"), F.count("parent_path").alias("n_with_parent")).join(columns, "table_name", "left").fillna(0, ["n_columns"]).withColumn("rec_src", F.lit(src))
+        out = part if out is None else out.unionByName(part)
+    return out.select("rec_src", "table_name", "n_rows", "n_with_parent", "n_columns")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of each file against the one before in its feed."""
+    return drift.schema_changes(table(spark, sf_dir, "drift_record"), keep=materialise).select("file_id", "change_kind", "old_name", "new_name")
+
+
+def p7_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records in one table with one column per meaning."""
+    records = table(spark, sf_dir, "drift_record")
+    return drift.unified(records, drift.schema_changes(records, keep=materialise), ["record_no", "feed_id", "file_id", "record_key"])
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_zone_use, p5_found, p5_basis, p6_found, p6_tables, p7_found, p7_unified)}
 SQL: dict[str, str] = {}
