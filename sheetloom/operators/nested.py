@@ -116,7 +116,8 @@ def shred(nodes: DataFrame, graph: DataFrame) -> DataFrame:
     own, up = F.try_element_at("up", F.lit(1)), F.try_element_at("up", F.lit(2))
     cut = F.substr(F.col("obj_path"), F.length(own["path"]) + 2, F.length("obj_path"))
     prefix = F.when(F.col("is_row"), F.lit("")).otherwise(F.concat(F.replace(cut, F.lit("/"), F.lit(".")), F.lit(".")))
-    cells = F.transform_keys("scalars", lambda k, v: F.concat(prefix, k))
-    parts = last_two.select("rec_id", own["tag"].alias("table_name"), own["path"].alias("obj_path"), F.when(F.col("is_row"), up["tag"]).alias("parent_table"), F.when(F.col("is_row"), up["path"]).alias("parent_path"), F.when(F.col("is_row"), F.col("ordinal")).alias("ordinal"), F.map_entries(cells).alias("e"))
+    cells = F.transform_keys("scalars", lambda k, v: F.concat("_prefix", k))
+    # the prefix comes first, as obj_path has another meaning in the next select
+    parts = last_two.withColumn("_prefix", prefix).withColumn("_cells", cells).select("rec_id", own["tag"].alias("table_name"), own["path"].alias("obj_path"), F.when(F.col("is_row"), up["tag"]).alias("parent_table"), F.when(F.col("is_row"), up["path"]).alias("parent_path"), F.when(F.col("is_row"), F.col("ordinal")).alias("ordinal"), F.map_entries("_cells").alias("e"))
     merged = parts.groupBy("rec_id", "table_name", "obj_path").agg(F.max("parent_table").alias("parent_table"), F.max("parent_path").alias("parent_path"), F.max("ordinal").alias("ordinal"), F.flatten(F.collect_list("e")).alias("e"))
     return merged.withColumn("cells", F.map_from_entries(F.array_distinct("e"))).drop("e")
