@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetloom.llm import coherence, leakage, packing, splitting, truncation
+from sheetloom.llm import coherence, leakage, packing, scanned, splitting, truncation
 from sheetloom.tables import materialise, table
 
 
@@ -39,6 +39,26 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir).withColumnRenamed("key", "chunk_id")
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = table(spark, sf_dir, "extraction_result").select("extraction_id", F.explode(F.array(
+        F.struct(F.lit("raw_text").alias("rec_src"), F.col("raw_text").alias("text"), F.lit(True).alias("has_pages")),
+        F.struct(F.lit("titleblock_text").alias("rec_src"), F.col("titleblock_text").alias("text"), F.lit(False).alias("has_pages")),
+    )).alias("r"))
+    extracted = extracted.select("r.rec_src", F.col("extraction_id").alias("rec_id"), F.col("extraction_id").alias("doc_id"), F.lit(None).cast("int").alias("page"), "r.text", "r.has_pages")
+    pages = table(spark, sf_dir, "ocr_run_result").select(F.lit("ocr_text").alias("rec_src"), F.col("ocr_id").alias("rec_id"), F.col("extraction_id").alias("doc_id"), F.col("page").cast("int").alias("page"), "text", F.lit(True).alias("has_pages"))
+    return extracted.unionByName(pages)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with traces of the scanned page."""
+    return scanned.defects(_pages(spark, sf_dir), materialise)
+
+
+def p4_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repaired paragraphs of each text."""
+    return scanned.paragraphs(_pages(spark, sf_dir), materialise)
+
+
 def p8_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Containers of each capacity, filled with whole documents where these fit."""
     return packing.pack(table(spark, sf_dir, "documents"), table(spark, sf_dir, "container_spec"), keep=materialise)
@@ -78,7 +98,7 @@ def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shares(spark, sf_dir).select("doc_id", F.round("share", 4).alias("spam_share"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_rates, p3_found, p3_pieces, p8_assignment, p8_fill, p9_found, p9_reordered, p10_found, p10_shares)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_rates, p3_found, p3_pieces, p4_found, p4_paragraphs, p8_assignment, p8_fill, p9_found, p9_reordered, p10_found, p10_shares)}
 SQL: dict[str, str] = {
     "p3_found": r"""
         SELECT c.chunk_id, CASE WHEN list_max(list_transform(regexp_split_to_array(c.content, '[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), x -> length(x))) > l.max_chars
