@@ -12,7 +12,7 @@ from sheetloom.tables import materialise, table
 def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "schedule_row").select(F.lit("schedule_row").alias("rec_src"), F.col("row_id").alias("rec_id"), "project_id", F.col("revision_date").alias("value"), F.col("ingested_at").alias("seen_at"))
     drawings = table(spark, sf_dir, "drawing_metadata").select(F.lit("drawing_metadata").alias("rec_src"), F.col("meta_id").alias("rec_id"), "project_id", F.col("drawing_date").alias("value"), F.col("captured_at").alias("seen_at"))
-    return timestamps.normalise_timestamps(rows.unionByName(drawings), table(spark, sf_dir, "project_site"), source="project_id")
+    return timestamps.normalise_timestamps(rows.unionByName(drawings), table(spark, sf_dir, "project_site"), source="project_id", keep=materialise)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
