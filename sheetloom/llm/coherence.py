@@ -30,6 +30,8 @@ WINDOW, SALAD = 12, -0.9
 REACH, DENSE, TIMES, LEAST, AROUND, COHERENT = 20, 0.12, 2.5, 4, 4, 0.5
 #: The share of the texts having a word in which it is at most usually dense; histogram steps per doubling of density.
 USUAL, STEPS = 0.97, 8
+#: Words in fewer texts than FEW are taken to be usually no denser than RARE_DENSITY.
+FEW, RARE_DENSITY = 30, 0.04
 
 _IDS: dict[str, int] = {}
 
@@ -154,8 +156,14 @@ def corpus_statistics(texts: DataFrame, keep=lambda x: x) -> DataFrame:
     words = keep(steps.groupBy("a").agg(F.sum("n").alias("df"), F.percentile("step", F.lit(USUAL), F.col("n")).alias("step")))
     pairs = texts.mapInArrow(_pairs, "k bigint, a bigint, b bigint").groupBy("k", "a", "b").agg(F.count("*").alias("n"))
     first, second = words.select("a", F.col("df").alias("df_a")), words.select(F.col("a").alias("b"), F.col("df").alias("df_b"))
-    bits = pairs.join(first, "a").join(second, "b").groupBy("k").agg(F.max(F.log2(F.col("n").cast("double") * n / F.col("df_a") / F.col("df_b"))).cast("float").alias("v"))
-    usual = words.select(F.col("a").alias("k"), F.pow(F.lit(2.0), (F.col("step") + 1) / STEPS).cast("float").alias("v"))
+    raw = F.log2(F.col("n").cast("double") * n / F.col("df_a") / F.col("df_b"))
+    # high information of rare pairs is discounted (as by Pantel and Lin, with 5 for 1): it may be chance
+    rarer = F.least("df_a", "df_b")
+    discounted = F.when(raw > 0, raw * F.col("n") / (F.col("n") + 5) * rarer / (rarer + 5)).otherwise(raw)
+    bits = pairs.join(first, "a").join(second, "b").groupBy("k").agg(F.max(discounted).cast("float").alias("v"))
+    usual = F.pow(F.lit(2.0), (F.col("step") + 1) / STEPS)
+    usual = F.when(F.col("df") < FEW, F.least(usual, F.lit(RARE_DENSITY))).otherwise(usual)
+    usual = words.select(F.col("a").alias("k"), usual.cast("float").alias("v"))
     return bits.unionByName(usual)
 
 

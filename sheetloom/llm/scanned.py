@@ -35,7 +35,7 @@ LIGATURES = "[ﬀ-ﬆ]"
 def pattern(line: str) -> str:
     """What lines of one running header share: codes and numbers masked, letters that scanners confuse made alike."""
     s = line.strip().lower()
-    s = re.sub(r"\b[a-z]{1,3}-?\d[\w.]*|\d+", "#", s)
+    s = re.sub(r"\b[a-z]{1,3}-?\d[\d.]*[a-z]?\b|\d+(?=[^a-z]|$)", "#", s)
     return re.sub(r"\s+", " ", s.translate(str.maketrans("0156à+q7", "olsbatgt"))).replace("rn", "m")
 
 

@@ -88,7 +88,7 @@ def truncated(df: DataFrame, key: str, source: str, text: str, least_share: floa
     and blank texts are no cases. A null source is a source of its own. Repeated rows are judged alike. keep:
     called with the judged texts (without their bodies), to write them once.
     """
-    base = df.where(F.trim(F.coalesce(F.col(text), F.lit(""))) != "").select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("text"))
+    base = df.where(F.col(text).rlike(r"\S")).select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("text"))
     x = base.withColumn("body", body_of(F.col("text")))
     core = F.regexp_replace("body", ELLIPSIS, "")
     x = judge_endings(x).withColumns({"n_chars": F.length(core), "n_bytes": F.octet_length(core)})
