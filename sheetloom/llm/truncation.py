@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRAILER = r"(?s)\n-- ?\n[^\n]{0,200}\s*$"
-MARKER = r"\s*\[[A-Za-z][A-Za-z ]{2,60}\]\s*$"
+BLANKS = " \t\n\r\f"
+MARKER = r"\s{0,20}\[[A-Za-z][A-Za-z ]{2,60}\]\s*$"
 #: Words of a marker that tells of a loss.
 ANNOUNCED = r"(?i)\[[a-z ]*\b(?:continued|limit|truncated|cut|clipped|abridged|incomplete|omitted|more|exceeded)\b[a-z ]*\]\s*$"
 ELLIPSIS = r"(?:\u2026|\.\.\.)$"
@@ -24,7 +25,7 @@ STRUCTURED = r"(?s)^\s*(?:[^\n{\[]{0,200}\n)?\s*(?:```\w*\s*)?[{\[]"
 
 def body_of(text: Column) -> Column:
     """The text without what a forwarding system put after it, and without white space at its end."""
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, TRAILER, ""), MARKER, ""), r"\s+$", "")
+    return F.rtrim(F.regexp_replace(F.regexp_replace(text, TRAILER, ""), MARKER, ""), F.lit(BLANKS))
 
 
 def length_counts(df: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def judge_endings(df: DataFrame) -> DataFrame:
     inside = F.regexp_replace(F.regexp_replace(body, r"(?s)^\s*(?:[^\n{\[]{0,200}\n)?\s*(?:```\w*)?", ""), STRINGS, "")
     depth = F.length(F.translate(inside, "}]", "")) - F.length(F.translate(inside, "{[", ""))
     fenced = (F.regexp_count(body, F.lit("```")) % 2) == 1
-    last_line = F.regexp_extract(body, r"([^\n]*)$", 1)
+    last_line = F.substring_index(body, "\n", -1)  # a pattern that ends in $ would be tried from every place of a long text
     bullet = last_line.rlike(r"^\s*(?:[-*•]|\d+[.)])\s")
     prose = (
         F.when(F.regexp_replace("text", TRAILER, "").rlike(ANNOUNCED), "announced")
@@ -73,7 +74,7 @@ def judge_endings(df: DataFrame) -> DataFrame:
     )
     structured = body.rlike(STRUCTURED)
     ending = F.when(structured, F.when((depth > 0) | inside.contains('"') | fenced, "lost").otherwise("whole")).otherwise(prose)
-    return df.withColumns({"structured": structured, "ending": ending, "last_line": last_line, "last_word": F.lower(F.regexp_extract(body, r"([\p{L}\p{N}'-]+)$", 1)), "is_bullet": bullet})
+    return df.withColumns({"structured": structured, "ending": ending, "last_line": last_line, "last_word": F.lower(F.regexp_extract(F.substring(body, -100, 100), r"([\p{L}\p{N}'-]+)$", 1)), "is_bullet": bullet})
 
 
 def _shape(line: Column) -> Column:
