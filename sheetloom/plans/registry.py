@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sheetloom.plans import training
+from sheetloom.plans import documents, training
 
-MODULES = [training]
+MODULES = [training, documents]
 
 
 def queries() -> dict:
