@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sheetloom.plans import documents, training
+from sheetloom.plans import documents, metrics, search, training
 
-MODULES = [training, documents]
+MODULES = [training, documents, search, metrics]
 
 
 def queries() -> dict:
