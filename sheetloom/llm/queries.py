@@ -101,7 +101,7 @@ def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (p2_found, p2_rates, p3_found, p3_pieces, p4_found, p4_paragraphs, p8_assignment, p8_fill, p9_found, p9_reordered, p10_found, p10_shares)}
 SQL: dict[str, str] = {
     "p3_found": r"""
-        SELECT c.chunk_id, CASE WHEN list_max(list_transform(regexp_split_to_array(c.content, '[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), x -> length(x))) > l.max_chars
+        SELECT c.chunk_id, CASE WHEN list_max(list_transform(regexp_split_to_array(c.content, '[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda x: length(x))) > l.max_chars
                THEN 'forced' ELSE 'natural' END AS cut_kind
         FROM sheet_chunk c JOIN chunk_limit l USING (chunk_type) WHERE length(c.content) > l.max_chars""",
 }
