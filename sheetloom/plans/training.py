@@ -95,4 +95,78 @@ def p7_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_zone_use, p5_found, p5_basis, p6_found, p6_tables, p7_found, p7_unified)}
-SQL: dict[str, str] = {}
+
+P6_SQL = """
+    WITH RECURSIVE n(rec_src, rec_id, v, kind, ptr, around, is_item) AS (
+        SELECT 'processing_state', state_id, CAST(parsed_json_data AS JSON), json_type(parsed_json_data), '', '', false FROM processing_state WHERE json_valid(parsed_json_data)
+        UNION ALL SELECT 'extraction_result', extraction_id, CAST(tables_json AS JSON), json_type(tables_json), '', '', false FROM extraction_result WHERE json_valid(tables_json)
+        UNION ALL SELECT n.rec_src, n.rec_id, e.value, e.type, n.ptr || '/' || replace(replace(CAST(e.key AS VARCHAR), '~', '~0'), '/', '~1'), CASE WHEN n.is_item THEN n.ptr ELSE n.around END, n.kind = 'ARRAY' AND e.type = 'OBJECT'
+        FROM n, json_each(n.v) e WHERE n.kind IN ('OBJECT', 'ARRAY'))
+    SELECT rec_src, rec_id, ptr AS obj_path, around AS parent_path FROM n WHERE is_item"""
+
+P7_SQL = """
+    WITH f AS (SELECT feed_id, file_id, file_no, record_key, e.key AS field, CASE e.type WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'VARCHAR' THEN 'string' WHEN 'NULL' THEN NULL ELSE 'number' END AS kind, e.value->>'$' AS raw
+               FROM drift_record d, json_each(d.payload) e),
+    g AS (SELECT *, CASE WHEN regexp_matches(raw, '^\\s*[+-]?[0-9]{1,20}(\\.[0-9]{1,15})?\\s*$') THEN CAST(CAST(trim(raw) AS DECIMAL(38, 15)) AS VARCHAR) ELSE raw END AS val FROM f),
+    k AS (SELECT feed_id, file_id, field, kind FROM (SELECT *, row_number() OVER (PARTITION BY feed_id, file_id, field ORDER BY kind IS NULL, n DESC, kind) AS r FROM (SELECT feed_id, file_id, field, kind, count(*) AS n FROM f GROUP BY ALL)) WHERE r = 1),
+    files AS (SELECT feed_id, file_id, row_number() OVER w AS rank, lead(file_id) OVER w AS next_file FROM (SELECT DISTINCT feed_id, file_id, file_no FROM drift_record) WINDOW w AS (PARTITION BY feed_id ORDER BY file_no, file_id)),
+    x AS (SELECT *, lag(rank) OVER w AS before, lead(rank) OVER w AS after, lag(kind) OVER w AS kind_before FROM k JOIN files USING (feed_id, file_id) WINDOW w AS (PARTITION BY feed_id, field ORDER BY rank)),
+    starts AS (SELECT file_id, field, kind FROM x WHERE rank > 1 AND (before IS NULL OR before < rank - 1)),
+    ends AS (SELECT next_file AS file_id, file_id AS prev_file, field, kind FROM x WHERE next_file IS NOT NULL AND (after IS NULL OR after > rank + 1)),
+    o AS (SELECT DISTINCT e.file_id, g.record_key, g.field, g.val FROM g JOIN ends e ON g.file_id = e.prev_file AND g.field = e.field WHERE g.kind IS NOT NULL),
+    n AS (SELECT DISTINCT s.file_id, g.record_key, g.field, g.val FROM g JOIN starts s ON g.file_id = s.file_id AND g.field = s.field WHERE g.kind IS NOT NULL),
+    p AS (SELECT o.file_id, o.field AS old_name, n.field AS new_name, count(DISTINCT o.record_key) AS keys, count(DISTINCT o.record_key) FILTER (o.val = n.val) AS same FROM o JOIN n ON o.file_id = n.file_id AND o.record_key = n.record_key GROUP BY ALL),
+    r AS (SELECT file_id, old_name, new_name FROM (SELECT *, row_number() OVER (PARTITION BY file_id, old_name ORDER BY same / keys DESC, same DESC, new_name) AS a, row_number() OVER (PARTITION BY file_id, new_name ORDER BY same / keys DESC, same DESC, old_name) AS b FROM p WHERE same > 0 AND same >= 0.5 * keys) WHERE a = 1 AND b = 1)
+    SELECT file_id, 'renamed' AS change_kind, old_name, new_name FROM r
+    UNION ALL SELECT file_id, 'removed', field, '' FROM ends e WHERE NOT EXISTS (FROM r WHERE r.file_id = e.file_id AND r.old_name = e.field)
+    UNION ALL SELECT file_id, 'added', '', field FROM starts s WHERE NOT EXISTS (FROM r WHERE r.file_id = s.file_id AND r.new_name = s.field)
+    UNION ALL SELECT file_id, 'type_changed', field, field FROM x WHERE before = rank - 1 AND kind <> kind_before
+    UNION ALL SELECT r.file_id, 'type_changed', old_name, new_name FROM r JOIN ends e ON r.file_id = e.file_id AND r.old_name = e.field JOIN starts s ON r.file_id = s.file_id AND r.new_name = s.field WHERE e.kind <> s.kind"""
+
+_DIGITS = "CASE WHEN regexp_matches({0}, '^[0-9]{{1,3}}(,[0-9]{{3}})+(\\.[0-9]+)?$') THEN TRY_CAST(replace({0}, ',', '') AS DOUBLE) ELSE TRY_CAST(replace({0}, ',', '.') AS DOUBLE) END"
+
+
+def _clean_sql(c: str) -> str:
+    return f"""translate(lower(trim({c})), '′’″”²', '''''""2')"""
+
+
+def _told_sql(v: str, notations: dict[str, tuple[str, float]]) -> str:
+    """Value of a number with its unit, in the common unit."""
+    number = _DIGITS.format(f"regexp_extract({v}, '^[0-9.,]+')")
+    cases = " ".join("WHEN regexp_matches({}, '^[0-9][0-9.,]* ?(?:{})$') THEN {} * CAST({!r} AS DOUBLE)".format(v, p.replace("'", "''"), number, f) for p, f in notations.values())
+    return f"CASE {cases} END"
+
+
+def _stated_sql(v: str, text: str, patterns: dict[str, float], otherwise: str) -> str:
+    """Value of a bare number: patterns of the record's text with their factors, else a factor or NULL."""
+    cases = " ".join(f"WHEN regexp_matches(replace(lower(coalesce({text}, '')), '²', '2'), '{p}') THEN {f!r}" for p, f in patterns.items())
+    return f"CASE WHEN regexp_matches({v}, '^[0-9][0-9.,]*$') THEN {_DIGITS.format(v)} * CAST(CASE {cases} ELSE {otherwise} END AS DOUBLE) END"
+
+
+def _group_sql(pattern: str, i: int) -> str:
+    return f"TRY_CAST(regexp_extract(h, '{pattern}', {i}) AS DOUBLE)"
+
+
+def _p5_sql() -> str:
+    feet = "^([0-9]+) ?(?:''|ft\\.?|feet)[ -]*([0-9]+)?(?: ?([0-9]+)/([0-9]+))? ?(?:\"|in\\.?|inches)$"
+    part = "^(?:([0-9]+) )?([0-9]+)/([0-9]+) ?(?:\"|in\\.?)$"
+    height_words = {"inch|inches": 254.0, "feet|ft": 3048.0, "mm|millimet(?:re|er)s?": 10.0, "cm|centimet(?:re|er)s?": 100.0, "m|met(?:re|er)s?": 10000.0}
+    said = {f"\\b(?:heights?|dimensions?)\\b[^.]*\\bin (?:{w})\\b": f for w, f in height_words.items()}
+    g = _group_sql
+    ceiling = (
+        f"CASE WHEN regexp_matches(h, '{feet}') THEN 254 * (12 * {g(feet, 1)} + coalesce({g(feet, 2)}, 0) + coalesce({g(feet, 3)} / {g(feet, 4)}, 0)) "
+        f"WHEN regexp_matches(h, '{part}') THEN 254 * (coalesce({g(part, 1)}, 0) + {g(part, 2)} / {g(part, 3)}) ELSE coalesce({_told_sql('h', units.CEILING)}, {_stated_sql('h', 'note', said, 'NULL')}) END"
+    )
+    areas = {"\\bareas?\\b[^.]*\\bin (?:m2|sq m|square met(?:re|er)s?)": units.AREA["sqm"][1], "\\bareas?\\b[^.]*\\bin (?:sq yd|square yards?)": 9.0}
+    area = f"coalesce({_told_sql('a', units.AREA)}, {_stated_sql('a', 'note', areas, '1.0')})"
+    kva = f"coalesce({_told_sql('k', units.KVA)}, {_stated_sql('k', 'content', {'\\bloads?\\b[^;()]*[ ,](?:va|volt-amperes)(?:[^a-z-]|$)|(?:^|[^a-z])va loads?\\b': 1.0}, '1000.0')})"
+    amps = f"coalesce({_told_sql('a', units.AMPS)}, {_stated_sql('a', 'content', {'\\bcurrents?\\b[^;()]*\\b(?:ma|milliamps?)(?:[^a-z]|$)': 1.0}, '1000.0')})"
+    return f"""
+    WITH r AS (SELECT room_key, trim(regexp_replace({_clean_sql('metrics.ceiling_height')}, ' ?a\\.?f\\.?f\\.?$', '')) AS h, {_clean_sql('metrics.square_footage')} AS a, notes.field AS note FROM a_rooms_template),
+    s AS (SELECT row_id, {_clean_sql('kva')} AS k, {_clean_sql('amps')} AS a, content FROM schedule_row),
+    v AS (SELECT 'room_ceiling' AS rec_src, room_key AS rec_id, {ceiling} AS val FROM r UNION ALL SELECT 'room_area', room_key, {area} FROM r
+          UNION ALL SELECT 'row_kva', row_id, {kva} FROM s UNION ALL SELECT 'row_amps', row_id, {amps} FROM s)
+    SELECT rec_src, rec_id, CAST(round(val) AS BIGINT) AS norm_val FROM v WHERE val > 0"""
+
+
+SQL: dict[str, str] = {"p5_found": _p5_sql(), "p6_found": P6_SQL, "p7_found": P7_SQL}
