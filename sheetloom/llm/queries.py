@@ -104,4 +104,10 @@ SQL: dict[str, str] = {
         SELECT c.chunk_id, CASE WHEN list_max(list_transform(regexp_split_to_array(c.content, '[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda x: length(x))) > l.max_chars
                THEN 'forced' ELSE 'natural' END AS cut_kind
         FROM sheet_chunk c JOIN chunk_limit l USING (chunk_type) WHERE length(c.content) > l.max_chars""",
+    "p9_found": r"""
+        WITH e AS (SELECT item_id, regexp_extract_all(lower(passage), '[\p{L}\p{N}]+') AS w FROM eval_item),
+        p AS (SELECT DISTINCT item_id, least(12, len(w)) AS k, unnest(list_transform(range(1, len(w) - least(12, len(w)) + 2), lambda i: array_to_string(w[i : i + least(12, len(w)) - 1], ' '))) AS g FROM e WHERE len(w) > 0),
+        d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+        t AS (SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS g FROM d, (SELECT DISTINCT k FROM p) WHERE len(w) >= k)
+        SELECT DISTINCT item_id, doc_id FROM p JOIN t USING (k, g)""",
 }
