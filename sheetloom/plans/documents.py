@@ -273,8 +273,70 @@ def parse_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "processing_state").groupBy("ingest_source", status.alias("parse_status")).agg(F.count("*").alias("n_states"))
 
 
-QUERIES = {f.__name__: f for f in (facts_blocks, facts_panels, facts_plumbing, sheet_metadata, coverage, latest_rows, drawing_types, row_identifiers, circuit_pairs, room_records, ocr_decisions, panel_lines, parse_status)}
+def facts_equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mechanical equipment (a list, or lists by kind) and door schedule rows with their tags."""
+    docs = _parsed(spark, sf_dir)
+    kinds = F.transform(F.map_values(F.from_json(F.to_json(F.try_variant_get("doc", "$.MECHANICAL.equipment", "variant")), "map<string,variant>")), lambda v: F.try_variant_get(v, "$", VARIANTS))
+    listed = _members("$.MECHANICAL.equipment")
+    equipment = F.coalesce(listed, F.flatten(F.filter(kinds, lambda v: v.isNotNull())))
+    mech = docs.select("state_id", F.lit("mech_equipment").alias("schedule_type"), F.explode(equipment).alias("r")).select("state_id", "schedule_type", _get(F.col("r"), "tag", "equipment_tag", "name", "fixture_type", "type", "mark").alias("tag"))
+    doors = docs.select("state_id", F.lit("door").alias("schedule_type"), F.explode(_members("$.ARCHITECTURAL.DOOR_SCHEDULE")).alias("r")).select("state_id", "schedule_type", _get(F.col("r"), "door_number", "mark", "door", "id").alias("tag"))
+    return mech.unionByName(doors).where("tag IS NOT NULL").groupBy("state_id", "schedule_type", "tag").agg(F.count("*").alias("n_rows"))
+
+
+FACTS_EQUIPMENT_SQL = f"""
+    WITH e AS (SELECT state_id, json_extract(parsed_json_data, '$.MECHANICAL.equipment') AS v FROM processing_state WHERE json_valid(parsed_json_data)),
+    m AS (SELECT state_id, unnest(from_json(v, '["JSON"]')) AS r FROM e WHERE json_type(v) = 'ARRAY' UNION ALL SELECT state_id, unnest(from_json(j.value, '["JSON"]')) FROM e, json_each(e.v) j WHERE json_type(e.v) = 'OBJECT' AND j.type = 'ARRAY'),
+    d AS (SELECT state_id, unnest(from_json(json_extract(parsed_json_data, '$.ARCHITECTURAL.DOOR_SCHEDULE'), '["JSON"]')) AS r FROM processing_state WHERE json_type(json_extract(parsed_json_data, '$.ARCHITECTURAL.DOOR_SCHEDULE')) = 'ARRAY'),
+    t AS (SELECT state_id, 'mech_equipment' AS schedule_type, {_j('r', 'tag', 'equipment_tag', 'name', 'fixture_type', 'type', 'mark')} AS tag FROM m UNION ALL SELECT state_id, 'door', {_j('r', 'door_number', 'mark', 'door', 'id')} FROM d)
+    SELECT state_id, schedule_type, tag, count(*) AS n_rows FROM t WHERE tag IS NOT NULL GROUP BY ALL"""
+
+# Words of a title block with the weight of each.
+TITLE_WORDS = {
+    "PROJECT": 0.25, "SHEET": 0.15, "DRAWING": 0.10, "DATE": 0.10, "DRAWN": 0.10, "CHECKED": 0.10, "APPROVED": 0.10, "SCALE": 0.10, "TITLE": 0.15, "JOB": 0.10, "NO": 0.05, "NUMBER": 0.05,
+    "REVISION": 0.10, "REV": 0.05, "CLIENT": 0.10, "ARCHITECT": 0.10, "ENGINEER": 0.10, "CONTRACTOR": 0.10,
+}
+SHEET_CODE = r"[A-Z]{1,3}[-.]?\d{1,3}(?:\.\d{1,3})?[A-Z]?|SHEET\s*:?\s*[A-Z0-9]|DWG\.?\s*NO\.?\s*:?\s*[A-Z0-9]"
+
+
+def titleblocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much each title-block text looks like one, and the project name, revision and sheet number it tells."""
+    t = F.col("titleblock_text")
+    upper, n = F.upper(t), F.length(t)
+    score = sum((F.when(upper.contains(w), v).otherwise(0.0) for w, v in TITLE_WORDS.items()), F.lit(0.0))
+    score += F.when(n.between(200, 500), 0.25).when(n.between(501, 1000), 0.20).when(n.between(1001, 2000), 0.15).when(n > 2000, 0.05).otherwise(0.0) + F.when(upper.rlike(SHEET_CODE), 0.15).otherwise(0.0)
+    text = lambda p: F.nullif(F.trim(F.regexp_extract(t, p, 1)), F.lit(""))
+    x = table(spark, sf_dir, "extraction_result").where("trim(titleblock_text) <> ''")
+    return x.select("extraction_id", F.round(F.least(score, F.lit(1.0)), 4).alias("score"), text(r"(?im)PROJECT(?:[ \t]+NAME|[ \t]+TITLE)?[ \t]*[:\-][ \t]*([^\n]+)$").alias("project_name"), text(r"(?i)\bRev(?:ision)?\.?[ \t]*[:\-]?[ \t]*([A-Za-z0-9]+)\b").alias("revision"), text(r"(?im)\bSHEET NUMBER[ \t]*:?[ \t]*([A-Z]{1,3}\d{1,3}(?:\.\d{1,3})?)[ \t]*$").alias("sheet_number"))
+
+
+_TITLE_SCORE = " + ".join(f"CASE WHEN contains(u, '{w}') THEN {v} ELSE 0 END" for w, v in TITLE_WORDS.items())
+TITLEBLOCKS_SQL = f"""
+    SELECT extraction_id, round(least(CAST({_TITLE_SCORE} + CASE WHEN n BETWEEN 200 AND 500 THEN 0.25 WHEN n BETWEEN 501 AND 1000 THEN 0.20 WHEN n BETWEEN 1001 AND 2000 THEN 0.15 WHEN n > 2000 THEN 0.05 ELSE 0 END + CASE WHEN regexp_matches(u, '{SHEET_CODE}') THEN 0.15 ELSE 0 END AS DOUBLE), 1.0), 4) AS score,
+           nullif(trim(regexp_extract(t, '(?im)PROJECT(?:[ \\t]+NAME|[ \\t]+TITLE)?[ \\t]*[:\\-][ \\t]*([^\\n]+)$', 1)), '') AS project_name, nullif(trim(regexp_extract(t, '(?i)\\bRev(?:ision)?\\.?[ \\t]*[:\\-]?[ \\t]*([A-Za-z0-9]+)\\b', 1)), '') AS revision,
+           nullif(trim(regexp_extract(t, '(?im)\\bSHEET NUMBER[ \\t]*:?[ \\t]*([A-Z]{{1,3}}[0-9]{{1,3}}(?:\\.[0-9]{{1,3}})?)[ \\t]*$', 1)), '') AS sheet_number
+    FROM (SELECT extraction_id, titleblock_text AS t, upper(titleblock_text) AS u, length(titleblock_text) AS n FROM extraction_result WHERE trim(titleblock_text) <> '')"""
+
+
+def sheet_note_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes of each drawing as one chunk of at most 1500 characters, headed by the sheet."""
+    notes = F.coalesce(*[F.when(F.size(_members(f"$.{k}")) > 0, _members(f"$.{k}")) for k in ("notes", "NOTES", "general_notes")])
+    lines = F.filter(F.transform(notes, lambda v: F.trim(F.try_variant_get(v, "$", "string"))), lambda s: s != "")
+    sheet = F.coalesce(T.blank_to_null(F.try_variant_get("doc", "$.DRAWING_METADATA.drawing_number", "string")), F.lit("unknown"))
+    body = F.concat(sheet, F.lit(" notes\n"), F.array_join(lines, "\n"))
+    content = F.when(F.length(body) > 1500, F.concat(F.rtrim(F.substring(body, 1, 1497)), F.lit("..."))).otherwise(body)
+    return _parsed(spark, sf_dir).where(F.size(lines) > 0).select("state_id", F.concat(sheet, F.lit("-chunk-0001")).alias("chunk_id"), content.alias("content"))
+
+
+_NOTES = "CASE " + " ".join(f"WHEN json_array_length(json_extract(parsed_json_data, '$.{k}')) > 0 THEN json_extract(parsed_json_data, '$.{k}')" for k in ("notes", "NOTES", "general_notes")) + " END"
+SHEET_NOTE_CHUNKS_SQL = f"""
+    SELECT state_id, sheet || '-chunk-0001' AS chunk_id, CASE WHEN length(body) > 1500 THEN rtrim(body[1:1497]) || '...' ELSE body END AS content FROM (SELECT state_id, sheet, sheet || ' notes' || chr(10) || array_to_string(l, chr(10)) AS body
+    FROM (SELECT state_id, coalesce({_j('parsed_json_data', 'DRAWING_METADATA.drawing_number')}, 'unknown') AS sheet, list_filter(list_transform(from_json({_NOTES}, '["VARCHAR"]'), lambda s: trim(s)), lambda s: s <> '') AS l FROM processing_state WHERE json_valid(parsed_json_data)) WHERE len(l) > 0)"""
+
+
+QUERIES = {f.__name__: f for f in (facts_blocks, facts_panels, facts_plumbing, sheet_metadata, coverage, latest_rows, drawing_types, row_identifiers, circuit_pairs, room_records, ocr_decisions, panel_lines, parse_status, facts_equipment, titleblocks, sheet_note_chunks)}
 SQL = {
     "facts_blocks": FACTS_BLOCKS_SQL, "facts_panels": FACTS_PANELS_SQL, "facts_plumbing": FACTS_PLUMBING_SQL, "sheet_metadata": SHEET_METADATA_SQL, "coverage": COVERAGE_SQL, "latest_rows": LATEST_ROWS_SQL,
     "drawing_types": DRAWING_TYPES_SQL, "row_identifiers": ROW_IDENTIFIERS_SQL, "circuit_pairs": CIRCUIT_PAIRS_SQL, "room_records": ROOM_RECORDS_SQL, "ocr_decisions": OCR_DECISIONS_SQL, "panel_lines": PANEL_LINES_SQL,
+    "facts_equipment": FACTS_EQUIPMENT_SQL, "titleblocks": TITLEBLOCKS_SQL, "sheet_note_chunks": SHEET_NOTE_CHUNKS_SQL,
 }
