@@ -22,11 +22,11 @@ SAMPLE_RECORDS = 3000
 
 PAGE_NUMBER = re.compile(r"^(?:[-–—~]\s*)?(?:(?:page|sheet|pg\.?|p\.)\s*)?(?:[\dlio]{1,4}|[ivxlc]{1,7})(?:\s*(?:of|/)\s*[\dlio]{1,4})?(?:\s*[-–—~])?$", re.I)
 HEADING = re.compile(r"^\d+(?:\.\d+)+\s+\S")
-TITLE = re.compile(r"^(?:[A-Z0-9][\w.&/'-]*(?:\s+|$)|-\s+|(?:of|for|and|the|without)\s+)+$")
+TITLE = re.compile(r"^(?:[A-Z0-9][\w.&/'-]*(?:\s+|$)|[-|]\s+|(?:of|for|and|the|without)\s+)+$")
 #: What a scanner makes of letters (left) and the letters meant.
 CONFUSIONS = [
     ("c", "e"), ("à", "a"), ("á", "a"), ("é", "e"), ("l", "i"), ("+", "t"), ("0", "o"), ("5", "s"), ("1", "l"), ("1", "i"), ("ri", "n"), ("cl", "d"),
-    ("ii", "u"), ("rn", "m"), ("b", "h"), ("q", "g"), ("6", "b"), ("6", "g"), ("m", "in"), ("m", "n"), ("vv", "w"), ("f", "e"), ("0", "d"), ("7", "t"),
+    ("ii", "u"), ("rn", "m"), ("b", "h"), ("q", "g"), ("6", "b"), ("6", "g"), ("m", "in"), ("m", "rn"), ("m", "n"), ("vv", "w"), ("f", "e"), ("0", "d"), ("7", "t"),
     ("d", "cl"), ("8", "b"), ("|", "l"), ("|", "i"), ("$", "s"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff"), ("ﬃ", "ffi"), ("ﬄ", "ffl"),
 ]
 LIGATURES = "[ﬀ-ﬆ]"
@@ -304,9 +304,9 @@ def find_noise(records: DataFrame, keep, sample: int = SAMPLE_RECORDS) -> dict[s
     broken = pieces.where("is_broken")
 
     own = x.select("rec_src", "rec_id", "line_no", F.explode("tokens").alias("t"))
-    own = own.select("rec_src", "rec_id", "line_no", bare(F.col("t")).alias("w")).where(F.col("w").rlike(r"\p{L}") & ~F.col("w").rlike(r"^[A-Z]{1,3}-?\d|-$|^\d+[A-Z]*(?:/\d*[A-Z]*)?$"))
+    own = own.select("rec_src", "rec_id", "line_no", bare(F.col("t")).alias("w")).where(F.col("w").rlike(r"\p{L}") & ~F.col("w").rlike(r"^[A-Z]{1,3}-?\d[\d.]*[A-Z]?$|-$|^\d+[A-Z]{0,2}(?:/\d*[A-Z]{0,2})?$"))
     seen = own.select(F.lower("w").alias("word")).distinct().join(known, "word", "left").select("word", F.coalesce("n", F.lit(1)).alias("n"))
-    rare = seen.where(~F.col("word").rlike(r"^\d+[a-z]{0,2}$|^[a-z]-?\d+|[/=@]"))
+    rare = seen.where(~F.col("word").rlike(r"^\d+[a-z]{0,2}$|^[a-z]{1,3}-?\d[\d.]*[a-z]?$|[/=@]"))
     wrong = corrections(rare, known).select("word", "meant")
     ligature = own.where(F.col("w").rlike(LIGATURES)).select("rec_src", "rec_id", "line_no")
     # pieces of divided words are judged as the word they make
