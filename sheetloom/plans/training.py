@@ -169,4 +169,33 @@ def _p5_sql() -> str:
     SELECT rec_src, rec_id, CAST(round(val) AS BIGINT) AS norm_val FROM v WHERE val > 0"""
 
 
-SQL: dict[str, str] = {"p5_found": _p5_sql(), "p6_found": P6_SQL, "p7_found": P7_SQL}
+def _p1_sql() -> str:
+    time = r"([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]+))?)?"
+    zone = r"(Z|[+-][0-9]{2}:?[0-9]{2}|[A-Za-z]{2,5}|\[[A-Za-z_/+0-9-]+\]|[A-Za-z_]+(?:/[A-Za-z_-]+)+)?"
+    tail = rf"(?:,? +{time}(?: *([AaPp])[Mm])?(?: +{zone})?)?$"
+    notations = [
+        (rf"^([0-9]{{4}})-([0-9]{{1,2}})-([0-9]{{1,2}})(?:[T ] *{time} *{zone})?$", r"\1|\2|\3|\4|\5|\6|\7||\8|c"), (rf"^([0-9]{{1,2}})[/.-]([0-9]{{1,2}})[/.-]([0-9]{{4}}|[0-9]{{2}}){tail}", r"\3|\1|\2|\4|\5|\6|\7|\8|\9|n"),
+        (r"^([0-9]{4})([0-9]{2})([0-9]{2})$", r"\1|\2|\3|||||||c"), (r"^([0-9]{10}(?:[0-9]{3})?)$", r"\1|||||||||e"), (rf"^(?:\pL+,? +)?([0-9]{{1,2}})(?:\. *|[ -]+)(\pL+)\.?[ -]+([0-9]{{4}}|[0-9]{{2}}){tail}", r"\3|\2|\1|\4|\5|\6|\7|\8|\9|c"),
+        (rf"^(\pL+)\.? +([0-9]{{1,2}}), *([0-9]{{4}}){tail}", r"\3|\1|\2|\4|\5|\6|\7|\8|\9|c"), (r"^D:([0-9]{4})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})([0-9]{2})(Z|[+-][0-9]{2})?'?([0-9]{2})?'?$", r"\1|\2|\3|\4|\5|\6|||\7\8|c"),
+    ]
+    quoted = [(p.replace("'", "''"), r) for p, r in notations]
+    parts = "CASE " + " ".join(f"WHEN regexp_matches(v, '{p}') THEN regexp_replace(v, '{p}', '{r}')" for p, r in quoted) + " END"
+    prefix = "translate(lower(m), 'äéèêûàá', 'aeeeuaa')"
+    months = " ".join(f"WHEN starts_with({prefix}, '{k}') THEN {n}" for k, n in sorted(timestamps.MONTH_PREFIXES.items(), key=lambda x: -len(x[0])))
+    zones = ["America/New_York", "America/Chicago", "America/Denver", "America/Los_Angeles", "America/Phoenix", "Europe/London", "Europe/Berlin", "Australia/Sydney", "Asia/Tokyo", "Asia/Kolkata"]
+    known = " ".join(f"WHEN '{k}' THEN {n}" for k, n in timestamps.abbreviation_offsets(zones).items())
+    return f"""
+    WITH v AS (SELECT 'schedule_row' AS rec_src, row_id AS rec_id, project_id, trim(revision_date) AS v FROM schedule_row UNION ALL SELECT 'drawing_metadata', meta_id, project_id, trim(drawing_date) FROM drawing_metadata),
+    p AS (SELECT rec_src, rec_id, site_tz AS tz, date_order AS o, string_split({parts}, '|') AS a FROM v LEFT JOIN project_site USING (project_id)),
+    q AS (SELECT *, CASE WHEN a[10] = 'n' AND o = 'DMY' THEN a[3] WHEN a[10] = 'c' OR o = 'MDY' THEN a[2] END AS m, CASE WHEN a[10] = 'n' AND o = 'DMY' THEN a[2] WHEN a[10] = 'c' OR o = 'MDY' THEN a[3] END AS d, translate(a[9], '[]', '') AS z FROM p WHERE a IS NOT NULL),
+    t AS (SELECT *, TRY_CAST(printf('%04d-%02d-%02d %02d:%02d:%02d', CAST(a[1] AS INT) + CASE WHEN length(a[1]) = 2 THEN 2000 ELSE 0 END, CASE WHEN regexp_matches(m, '^[0-9]') THEN TRY_CAST(m AS INT) ELSE CASE {months} END END, TRY_CAST(d AS INT),
+                 CASE WHEN a[8] = '' THEN coalesce(TRY_CAST(a[4] AS INT), 0) ELSE TRY_CAST(a[4] AS INT) % 12 + CASE WHEN lower(a[8]) = 'p' THEN 12 ELSE 0 END END, coalesce(TRY_CAST(a[5] AS INT), 0), coalesce(TRY_CAST(a[6] AS INT), 0)) AS TIMESTAMP) AS l,
+                 coalesce(TRY_CAST(rpad(a[7][1:6], 6, '0') AS BIGINT), 0) AS f FROM q WHERE a[10] <> 'e'),
+    w AS (SELECT *, CASE WHEN upper(z) IN ('Z', 'UTC', 'GMT') THEN 0 WHEN regexp_matches(z, '^[+-]') THEN (CASE WHEN starts_with(z, '-') THEN -1 ELSE 1 END) * (CAST(z[2:3] AS INT) * 3600 + coalesce(TRY_CAST(replace(z, ':', '')[4:5] AS INT), 0) * 60)
+                 WHEN z <> '' AND NOT contains(z, '/') THEN CASE tz || '|' || upper(z) {known} END END AS ofs, CASE WHEN contains(z, '/') THEN z WHEN z = '' THEN tz END AS zone FROM t WHERE l IS NOT NULL),
+    u AS (SELECT *, timezone(zone, l) AS inst FROM w)
+    SELECT rec_src, rec_id, CASE WHEN ofs IS NOT NULL THEN epoch_us(l) - CAST(ofs AS BIGINT) * 1000000 WHEN timezone(zone, inst - INTERVAL 1 HOUR) = l THEN epoch_us(inst) - 3600000000 ELSE epoch_us(inst) END + f AS utc_us FROM u WHERE ofs IS NOT NULL OR zone IS NOT NULL
+    UNION ALL SELECT rec_src, rec_id, CAST(a[1] AS BIGINT) * CASE WHEN length(a[1]) = 10 THEN 1000000 ELSE 1000 END FROM p WHERE a[10] = 'e'"""
+
+
+SQL: dict[str, str] = {"p1_found": _p1_sql(), "p5_found": _p5_sql(), "p6_found": P6_SQL, "p7_found": P7_SQL}
