@@ -247,12 +247,8 @@ SUMMARY = "total|connected|demand factor|%"
 
 def panel_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Panel blocks of each text: its header opens a block (gaps and islands); kinds of its lines are counted."""
-    docs = table(spark, sf_dir, "documents").where("text rlike '(?im)^\\\\s*panel'")
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     line = F.col("line")
-    header = F.upper(F.nullif(F.regexp_extract(F.trim(line), r"(?i)^panel\s*:?\s*([A-Z0-9\-.]+)", 1), F.lit("")))
-    w = Window.partitionBy("doc_id").orderBy("line_no")
-    x = lines.withColumn("header", header).withColumn("block_no", F.sum(F.when(F.col("header").isNotNull(), 1).otherwise(0)).over(w)).where("block_no > 0")
+    x = _panel_blocks(spark, sf_dir).where("block_no > 0")
     low, amps, load = F.lower(line), line.rlike(AMPS), line.rlike(LOAD)
     said = low.rlike(SUMMARY)
     kind = F.when(said & (amps | load), "summary").when(~said & amps & (load | (F.length(F.trim(line)) >= 12)), "circuit").otherwise("other")
@@ -334,9 +330,71 @@ SHEET_NOTE_CHUNKS_SQL = f"""
     FROM (SELECT state_id, coalesce({_j('parsed_json_data', 'DRAWING_METADATA.drawing_number')}, 'unknown') AS sheet, list_filter(list_transform(from_json({_NOTES}, '["VARCHAR"]'), lambda s: trim(s)), lambda s: s <> '') AS l FROM processing_state WHERE json_valid(parsed_json_data)) WHERE len(l) > 0)"""
 
 
-QUERIES = {f.__name__: f for f in (facts_blocks, facts_panels, facts_plumbing, sheet_metadata, coverage, latest_rows, drawing_types, row_identifiers, circuit_pairs, room_records, ocr_decisions, panel_lines, parse_status, facts_equipment, titleblocks, sheet_note_chunks)}
+def _panel_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").where("text rlike '(?im)^\\\\s*panel'")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    header = F.upper(F.nullif(F.regexp_extract(F.trim("line"), r"(?i)^panel\s*:?\s*([A-Z0-9\-.]+)", 1), F.lit("")))
+    w = Window.partitionBy("doc_id").orderBy("line_no")
+    x = lines.withColumn("header", header)
+    return x.withColumns({"block_no": F.sum(F.when(F.col("header").isNotNull(), 1).otherwise(0)).over(w), "panel_id": F.last("header", ignorenulls=True).over(w)})
+
+
+def panel_circuits_per_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a panel's lines hold one or two circuits: the commonest number of ratings in its first ten circuit lines,
+    ties to the one seen first."""
+    line = F.col("line")
+    circuit = ~F.lower(line).rlike(SUMMARY) & line.rlike(AMPS) & (line.rlike(LOAD) | (F.length(F.trim(line)) >= 12))
+    x = _panel_blocks(spark, sf_dir).where("block_no > 0").where(circuit)
+    w = Window.partitionBy("doc_id", "block_no").orderBy("line_no")
+    x = x.withColumns({"place": F.row_number().over(w), "n_amps": F.regexp_count("line", F.lit(AMPS))}).where("place <= 10")
+    counts = x.groupBy("doc_id", "block_no", "panel_id", "n_amps").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    best = counts.groupBy("doc_id", "block_no", "panel_id").agg(F.min(F.struct((-F.col("n")).alias("n"), "first", "n_amps")).alias("m"))
+    return best.select("doc_id", "block_no", "panel_id", F.when(F.col("m.n_amps") >= 2, 2).otherwise(1).alias("per_line"))
+
+
+_BLOCKS_SQL = "SELECT *, CAST(sum(CASE WHEN header IS NOT NULL THEN 1 ELSE 0 END) OVER w AS BIGINT) AS block_no, last_value(header IGNORE NULLS) OVER w AS panel_id FROM (SELECT doc_id, line_no, line, upper(nullif(regexp_extract(trim(line), '(?i)^panel\\s*:?\\s*([A-Z0-9\\-.]+)', 1), '')) AS header FROM (SELECT doc_id, generate_subscripts(s, 1) AS line_no, unnest(s) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents WHERE regexp_matches(text, '(?im)^\\s*panel')))) WINDOW w AS (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING)"
+PANEL_CIRCUITS_SQL = f"""
+    WITH c AS (SELECT *, row_number() OVER (PARTITION BY doc_id, block_no ORDER BY line_no) AS place, len(regexp_extract_all(line, '{AMPS}')) AS n_amps FROM ({_BLOCKS_SQL}) WHERE block_no > 0 AND NOT regexp_matches(lower(line), '{SUMMARY}') AND regexp_matches(line, '{AMPS}') AND (regexp_matches(line, '{LOAD}') OR length(trim(line)) >= 12)),
+    m AS (SELECT *, row_number() OVER (PARTITION BY doc_id, block_no ORDER BY n DESC, first) AS r FROM (SELECT doc_id, block_no, panel_id, n_amps, count(*) AS n, min(place) AS first FROM c WHERE place <= 10 GROUP BY ALL))
+    SELECT doc_id, block_no, panel_id, CASE WHEN n_amps >= 2 THEN 2 ELSE 1 END AS per_line FROM m WHERE r = 1"""
+
+
+def panel_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with a marker line before each panel and after its end."""
+    x = _panel_blocks(spark, sf_dir).where("doc_id IS NOT NULL")
+    w = Window.partitionBy("doc_id").orderBy("line_no")
+    ended = F.lag("panel_id").over(w)
+    last = F.lead("line_no").over(w).isNull()
+    before = F.when(F.col("header").isNotNull(), F.concat(F.coalesce(F.concat(F.lit("=== END PANEL SCHEDULE: "), ended, F.lit(" ===\n")), F.lit("")), F.lit("=== PANEL SCHEDULE: "), F.col("header"), F.lit(" ===\n"))).otherwise("")
+    after = F.when(last & F.col("panel_id").isNotNull(), F.concat(F.lit("\n=== END PANEL SCHEDULE: "), F.col("panel_id"), F.lit(" ==="))).otherwise("")
+    x = x.select("doc_id", F.struct("line_no", F.concat(before, "line", after).alias("t")).alias("l")).groupBy("doc_id").agg(F.array_sort(F.collect_list("l")).alias("ls"))
+    return x.select("doc_id", F.md5(F.array_join(F.transform("ls", lambda v: v["t"]), "\n")).alias("text_md5"))
+
+
+PANEL_MARKERS_SQL = f"""
+    SELECT doc_id, md5(string_agg(CASE WHEN header IS NOT NULL THEN coalesce('=== END PANEL SCHEDULE: ' || ended || ' ===' || chr(10), '') || '=== PANEL SCHEDULE: ' || header || ' ===' || chr(10) ELSE '' END || line
+        || CASE WHEN nxt IS NULL AND panel_id IS NOT NULL THEN chr(10) || '=== END PANEL SCHEDULE: ' || panel_id || ' ===' ELSE '' END, chr(10) ORDER BY line_no)) AS text_md5
+    FROM (SELECT *, lag(panel_id) OVER (PARTITION BY doc_id ORDER BY line_no) AS ended, lead(line_no) OVER (PARTITION BY doc_id ORDER BY line_no) AS nxt FROM ({_BLOCKS_SQL})) GROUP BY doc_id"""
+
+
+def table_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much each extracted table looks like a panel's, best first in each extraction; ties by position."""
+    tables = table(spark, sf_dir, "extraction_result").select("extraction_id", F.posexplode(F.try_variant_get(F.try_parse_json("tables_json"), "$", VARIANTS)).alias("table_no", "v"))
+    t = F.lower(F.to_json("v"))
+    score = F.when(t.rlike("circuit|ckt|breaker|trip"), 5.0).otherwise(0.0) + F.when(t.rlike("load|va|amps"), 3.0).otherwise(0.0) + F.when(t.contains("panel"), 2.0).otherwise(0.0)
+    w = Window.partitionBy("extraction_id").orderBy(F.col("score").desc(), "table_no")
+    return tables.select("extraction_id", "table_no", score.alias("score")).withColumn("place", F.row_number().over(w))
+
+
+TABLE_SCORES_SQL = """
+    SELECT extraction_id, CAST(table_no AS INT) AS table_no, score, CAST(row_number() OVER (PARTITION BY extraction_id ORDER BY score DESC, table_no) AS INT) AS place FROM (SELECT extraction_id, table_no, CAST(CASE WHEN regexp_matches(t, 'circuit|ckt|breaker|trip') THEN 5 ELSE 0 END + CASE WHEN regexp_matches(t, 'load|va|amps') THEN 3 ELSE 0 END + CASE WHEN contains(t, 'panel') THEN 2 ELSE 0 END AS DOUBLE) AS score
+    FROM (SELECT extraction_id, generate_subscripts(l, 1) - 1 AS table_no, lower(CAST(unnest(l) AS VARCHAR)) AS t FROM (SELECT extraction_id, from_json(tables_json, '["JSON"]') AS l FROM extraction_result WHERE json_valid(tables_json))))"""
+
+
+QUERIES = {f.__name__: f for f in (facts_blocks, facts_panels, facts_plumbing, sheet_metadata, coverage, latest_rows, drawing_types, row_identifiers, circuit_pairs, room_records, ocr_decisions, panel_lines, parse_status, facts_equipment, titleblocks, sheet_note_chunks, panel_circuits_per_line, panel_markers, table_scores)}
 SQL = {
     "facts_blocks": FACTS_BLOCKS_SQL, "facts_panels": FACTS_PANELS_SQL, "facts_plumbing": FACTS_PLUMBING_SQL, "sheet_metadata": SHEET_METADATA_SQL, "coverage": COVERAGE_SQL, "latest_rows": LATEST_ROWS_SQL,
     "drawing_types": DRAWING_TYPES_SQL, "row_identifiers": ROW_IDENTIFIERS_SQL, "circuit_pairs": CIRCUIT_PAIRS_SQL, "room_records": ROOM_RECORDS_SQL, "ocr_decisions": OCR_DECISIONS_SQL, "panel_lines": PANEL_LINES_SQL,
     "facts_equipment": FACTS_EQUIPMENT_SQL, "titleblocks": TITLEBLOCKS_SQL, "sheet_note_chunks": SHEET_NOTE_CHUNKS_SQL,
+    "panel_circuits_per_line": PANEL_CIRCUITS_SQL, "panel_markers": PANEL_MARKERS_SQL, "table_scores": TABLE_SCORES_SQL,
 }
