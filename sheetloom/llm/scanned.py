@@ -22,6 +22,8 @@ SAMPLE_RECORDS = 3000
 
 PAGE_NUMBER = re.compile(r"^(?:[-–—~]\s*)?(?:(?:page|sheet|pg\.?|p\.)\s*)?(?:[\dlio]{1,4}|[ivxlc]{1,7})(?:\s*(?:of|/)\s*[\dlio]{1,4})?(?:\s*[-–—~])?$", re.I)
 HEADING = re.compile(r"^\d+(?:\.\d+)+\s+\S")
+# Words that no line of a running header ends in.
+LINKING = frozenset("a an the of to and or in on at by for with from as is was be been that".split())
 TITLE = re.compile(r"^(?:[A-Z0-9][\w.&/'-]*(?:\s+|$)|[-|]\s+|(?:of|for|and|the|without)\s+)+$")
 #: What a scanner makes of letters (left) and the letters meant.
 CONFUSIONS = [
@@ -50,20 +52,22 @@ def page_records(df: DataFrame) -> DataFrame:
 
 def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = {"rec_src": [], "rec_id": [], "doc_id": [], "line_no": [], "p": []}
-        for src, rec, doc, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        out = {"rec_src": [], "rec_id": [], "doc_id": [], "page": [], "line_no": [], "p": []}
+        for src, rec, doc, page, text in zip(*(batch.column(i).to_pylist() for i in range(5))):
             for n, line in enumerate(text.split("\n"), 1):
                 if line.strip() and len(line) <= 120:
-                    for k, v in zip(out, (src, rec, doc, n, pattern_id(line))):
+                    for k, v in zip(out, (src, rec, doc, page, n, pattern_id(line))):
                         out[k].append(v)
-        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
 
 
 def pattern_counts(records: DataFrame) -> DataFrame:
-    """rec_src, rec_id, counts (array of line_no, in_doc: lines of its document with that pattern, n_docs: documents with it)."""
-    lines = records.where("has_pages").select("rec_src", "rec_id", "doc_id", "text").mapInArrow(_patterns, "rec_src string, rec_id bigint, doc_id bigint, line_no int, p bigint")
-    per_doc = lines.groupBy("p", "rec_src", "doc_id").agg(F.count("*").alias("in_doc"))
+    """rec_src, rec_id, counts (array of line_no, in_doc: pages, or lines of an undivided text, of its document with that
+    pattern, n_docs: documents with it). A page that was read twice counts once."""
+    lines = records.where("has_pages").select("rec_src", "rec_id", "doc_id", "page", "text").mapInArrow(_patterns, "rec_src string, rec_id bigint, doc_id bigint, page int, line_no int, p bigint")
+    per_page = lines.groupBy("p", "rec_src", "doc_id", "page").agg(F.count("*").alias("n"))
+    per_doc = per_page.groupBy("p", "rec_src", "doc_id").agg(F.sum(F.when(F.col("page").isNull(), F.col("n")).otherwise(1)).alias("in_doc"))
     corpus = per_doc.groupBy("p").agg(F.countDistinct("doc_id").alias("n_docs"))
     both = per_doc.join(corpus, "p").where("in_doc > 1 OR n_docs > 2")
     x = lines.join(both, ["p", "rec_src", "doc_id"])
@@ -88,7 +92,7 @@ def features(text: str, counts: list[dict] | None, n_all: int) -> np.ndarray:
         words = re.findall(r"[^\W\d_][\w+'-]*", s)
         small = sum(w[0].islower() for w in words)
         row = ("|" in s or "—" in s) and len(re.findall(r"\d+", s)) > 1
-        shape = 0 if number else 1 if HEADING.match(s) else 2 if row else 3 if TITLE.match(s) else 4 if s[0].islower() else 5 if len(words) >= 4 and small >= 0.5 * len(words) else 6
+        shape = 0 if number else 1 if HEADING.match(s) else 2 if row else 3 if TITLE.match(s) else 4 if s[0].islower() or s.rsplit(" ", 1)[-1] in LINKING else 5 if len(words) >= 4 and small >= 0.5 * len(words) else 6
         end = 0 if s[-1] in ".;:" else 1 if s[-1] in "-," else 2 if s[-1].isdigit() else 3
         size = min(3, int(4 * len(s) / max(1, wide)))
         inner = min(3, c["in_doc"] if c else 1)
@@ -126,7 +130,7 @@ class LineModel:
 
     @staticmethod
     def plain_body(x: np.ndarray) -> np.ndarray:
-        """Headings, table rows, lines that begin in mid-sentence, prose that nothing repeats, and wide unwrapped texts."""
+        """Headings, table rows, lines that begin or end in mid-sentence, prose that nothing repeats, and wide unwrapped texts."""
         return (x[:, 0] >= 0) & (np.isin(x[:, 0], (1, 2, 4)) | (x[:, 0] == 5) & (x[:, 3] <= 1) | (x[:, 7] >= 4))
 
     @classmethod
