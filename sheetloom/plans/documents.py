@@ -57,13 +57,34 @@ def _load_text(v: Column, path: str) -> Column:
     return F.coalesce(*[F.when(~p.rlike(NUMERIC_LOAD), p) for p in phases])
 
 
+#: Names of the object or list of panel schedules; the first that is there counts.
+PANEL_SCHEDULES = ("PANEL_SCHEDULES", "panel_schedules", "panel schedules", "panelschedules")
+
+
+def _panel(p: Column, circuits: tuple[str, str], name: Column | None = None) -> Column:
+    """Name, voltage and circuits of a panel; the first filled list of circuits counts. A name that is given is an object's key."""
+    voltage = lambda path: F.nullif(F.try_variant_get(p, f"$.{path}", "string"), F.lit(""))
+    lists = [F.try_variant_get(p, f"$.{n}", VARIANTS) for n in circuits]
+    listed = name is None
+    return F.struct(
+        (_get(p, "panel_name", "panel_id", "name", "panel", "id") if listed else name).alias("panel"),
+        (F.coalesce(*[voltage(n) for n in ("voltage", "enclosure_info.volts", "enclosure_info.voltage")]) if listed else voltage("voltage")).alias("voltage"),
+        F.coalesce(*[F.when(F.size(v) > 0, v) for v in lists]).alias("circuits"),
+    )
+
+
 def facts_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Circuits of panel lists, each with its right side as a row of its own, panel voltage inherited. Files that have
-    blocks are left to these."""
+    """Circuits of panel lists and of panel schedules (an object by name, or a list), each with its right side as a row of
+    its own, panel voltage inherited. panel_no counts the list, then the schedules, those of an object by name. Files that
+    have blocks are left to these."""
     docs = _parsed(spark, sf_dir).where("coalesce(size(try_variant_get(doc, '$.blocks', 'array<variant>')), 0) <= 0")
-    panels = docs.select("state_id", F.posexplode(_members("$.ELECTRICAL.panels")).alias("panel_no", "p"))
-    filled = lambda n: F.when(F.size(F.try_variant_get("p", f"$.{n}", VARIANTS)) > 0, F.try_variant_get("p", f"$.{n}", VARIANTS))
-    circuits = panels.select("state_id", "panel_no", _get(F.col("p"), "panel_name", "panel_id", "name", "panel", "id").alias("panel"), F.try_variant_get("p", "$.voltage", "string").alias("voltage"), F.posexplode(F.coalesce(filled("circuits"), filled("circuit_details"))).alias("row_no", "c"))
+    listed = F.transform(_members("$.ELECTRICAL.panels"), lambda p: _panel(p, ("circuits", "circuit_details")))
+    details = ("circuit_details", "circuits")
+    named = lambda by_name: F.transform(F.array_sort(F.map_keys(by_name)), lambda k: _panel(by_name[k], details, k))
+    schedules = [x for n in PANEL_SCHEDULES for x in (F.transform(_members(f"$.ELECTRICAL['{n}']"), lambda p: _panel(p, details)), named(F.try_variant_get("doc", f"$.ELECTRICAL['{n}']", "map<string,variant>")))]
+    schedules = F.coalesce(*schedules)
+    panels = docs.select("state_id", F.posexplode(F.coalesce(F.concat(listed, schedules), listed, schedules)).alias("panel_no", "p"))
+    circuits = panels.select("state_id", "panel_no", "p.panel", "p.voltage", F.posexplode("p.circuits").alias("row_no", "c"))
     c, right = F.col("c"), F.try_variant_get("c", "$.right_side", "variant")
     sides = F.array(
         F.struct(F.lit("left").alias("side"), _get(c, "circuit", "circuit_number", "ckt", "cct").alias("circuit"), F.coalesce(_get(c, "load_name", "description", "load", "device"), _load_text(c, "phase_loads")).alias("description"), _get(c, "trip", "amps", "breaker", "size").alias("amps"), _get(c, "phase", "poles", "pole", "phase_count").alias("poles")),
