@@ -32,6 +32,8 @@ CONFUSIONS = [
     ("d", "cl"), ("8", "b"), ("|", "l"), ("|", "i"), ("$", "s"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff"), ("ﬃ", "ffi"), ("ﬄ", "ffl"),
 ]
 LIGATURES = "[ﬀ-ﬆ]"
+# Fixed value: the form of sheet codes, tags and ratings, which a misread word in capitals may share.
+CODE = r"^[A-Z]{1,3}-?\d[\d.]*[A-Z]?$|^\d+[A-Z]{0,2}$"
 
 
 def pattern(line: str) -> str:
@@ -233,12 +235,12 @@ def with_next(x: DataFrame) -> DataFrame:
 
 
 def vocabulary(x: DataFrame) -> DataFrame:
-    """word (lower case), n: words of body lines but for pieces at divided line ends and after them."""
+    """word (lower case), n, n_upper (in capitals): words of body lines but for pieces at divided line ends and after them."""
     own = Window.partitionBy("rec_src", "rec_id").orderBy("line_no")
     after = F.coalesce(F.lag("hyphen_end").over(own), F.col("row") == 1)
     inner = F.slice(F.col("tokens"), F.when(F.col("after"), 2).otherwise(1), F.greatest(F.lit(0), F.size("tokens") - F.col("after").cast("int") - F.col("hyphen_end").cast("int")))
-    words = x.withColumn("after", after).select(F.explode(inner).alias("t")).select(F.lower(bare(F.col("t"))).alias("word")).where("word <> ''")
-    return words.groupBy("word").agg(F.count("*").alias("n"))
+    words = x.withColumn("after", after).select(F.explode(inner).alias("t")).select(bare(F.col("t")).alias("w")).where("w <> ''")
+    return words.groupBy(F.lower("w").alias("word")).agg(F.count("*").alias("n"), F.count_if(F.col("w") == F.upper("w")).alias("n_upper"))
 
 
 def _edits(word: str) -> Iterator[tuple[str, int, int]]:
@@ -308,18 +310,22 @@ def find_noise(records: DataFrame, keep, sample: int = SAMPLE_RECORDS) -> dict[s
     broken = pieces.where("is_broken")
 
     own = x.select("rec_src", "rec_id", "line_no", F.explode("tokens").alias("t"))
-    own = own.select("rec_src", "rec_id", "line_no", bare(F.col("t")).alias("w")).where(F.col("w").rlike(r"\p{L}") & ~F.col("w").rlike(r"^[A-Z]{1,3}-?\d[\d.]*[A-Z]?$|-$|^\d+[A-Z]{0,2}(?:/\d*[A-Z]{0,2})?$"))
-    seen = own.select(F.lower("w").alias("word")).distinct().join(known, "word", "left").select("word", F.coalesce("n", F.lit(1)).alias("n"))
-    rare = seen.where(~F.col("word").rlike(r"^\d+[a-z]{0,2}$|^[a-z]{1,3}-?\d[\d.]*[a-z]?$|[/=@]"))
-    wrong = corrections(rare, known).select("word", "meant")
+    own = own.select("rec_src", "rec_id", "line_no", bare(F.col("t")).alias("w")).where(F.col("w").rlike(r"\p{L}") & ~F.col("w").rlike("-$"))
+    # what has the form of a code is one unless a word that is frequent in capitals may be meant: 'FLO0R', but not 'A5'
+    own = own.withColumns({"word": F.lower("w"), "code": F.col("w").rlike(CODE)})
+    seen = own.select("word", "code").distinct().join(known, "word", "left").where(~F.col("word").rlike("[/=@]"))
+    wrong = corrections(seen.where("NOT code").select("word", F.coalesce("n", F.lit(1)).alias("n")), known).select("word", F.lit(False).alias("code"), "meant")
+    capitals = known.where("n_upper > 0").select("word", F.col("n_upper").alias("n"))
+    wrong = wrong.unionByName(corrections(seen.where("code").select("word", F.greatest("n_upper", F.lit(1)).alias("n")), capitals).select("word", F.lit(True).alias("code"), "meant"))
     ligature = own.where(F.col("w").rlike(LIGATURES)).select("rec_src", "rec_id", "line_no")
     # pieces of divided words are judged as the word they make
     heads_of = broken.select("rec_src", F.col("next_rec").alias("rec_id"), F.col("next_line").alias("line_no"), F.col("right_part").alias("w"))
-    plain = own.join(heads_of, ["rec_src", "rec_id", "line_no", "w"], "left_anti").withColumn("word", F.lower("w"))
-    misread = plain.join(wrong, "word").select("rec_src", "rec_id", "line_no")
+    plain = own.join(heads_of, ["rec_src", "rec_id", "line_no", "w"], "left_anti")
+    misread = plain.join(wrong, ["word", "code"]).select("rec_src", "rec_id", "line_no")
     # compounds that kept their hyphen are judged by their parts
-    ends = x.where("hyphen_end").select("rec_src", "rec_id", "line_no", F.lower(F.regexp_replace("last", r"[-‐­]+$", "")).alias("word")).join(broken.select("rec_src", "rec_id", "line_no"), ["rec_src", "rec_id", "line_no"], "left_anti")
-    misread = misread.unionByName(ends.join(wrong, "word").select("rec_src", "rec_id", "line_no"))
+    ends = x.where("hyphen_end").select("rec_src", "rec_id", "line_no", F.regexp_replace("last", r"[-‐­]+$", "").alias("w")).join(broken.select("rec_src", "rec_id", "line_no"), ["rec_src", "rec_id", "line_no"], "left_anti")
+    ends = ends.select("rec_src", "rec_id", "line_no", F.lower("w").alias("word"), F.col("w").rlike(CODE).alias("code"))
+    misread = misread.unionByName(ends.join(wrong, ["word", "code"]).select("rec_src", "rec_id", "line_no"))
     faulty = broken.where("whole_meant IS NOT NULL")
     left = F.length("left_part")
     misread = misread.unionByName(faulty.where(F.col("whole_first_at") < left).select("rec_src", "rec_id", "line_no"))
@@ -350,8 +356,8 @@ def paragraphs(records: DataFrame, keep) -> DataFrame:
     tail = F.when(F.col("moved_out").isNotNull(), F.regexp_extract(F.element_at(tokens, 1), r"[.,;:)\]?!]+$", 0)).otherwise("")
     tokens = F.when(F.col("moved_out").isNotNull(), F.concat(F.filter(F.array(tail), lambda t: t != ""), F.slice(tokens, 2, 100000))).otherwise(tokens)
     joined = F.when(F.col("moved_in").isNotNull(), F.concat(F.slice(tokens, 1, F.greatest(F.lit(0), F.size(tokens) - 1)), F.array(F.concat(F.regexp_replace(F.element_at(tokens, -1), r"[-‐­]+$", ""), F.col("moved_in"))))).otherwise(tokens)
-    words = x.select("rec_src", "rec_id", "par_no", "line_no", F.posexplode(joined).alias("at", "t")).withColumn("word", F.lower(bare(F.col("t"))))
-    words = words.join(found["wrong"], "word", "left")
+    words = x.select("rec_src", "rec_id", "par_no", "line_no", F.posexplode(joined).alias("at", "t")).withColumns({"word": F.lower(bare(F.col("t"))), "code": bare(F.col("t")).rlike(CODE)})
+    words = words.join(found["wrong"], ["word", "code"], "left")
     core = bare(F.col("t"))
     cased = F.when(core == F.upper(core), F.upper("meant")).when(F.substring(core, 1, 1).rlike(r"\p{Lu}"), F.concat(F.upper(F.substring("meant", 1, 1)), F.substring("meant", 2, 1000))).otherwise(F.col("meant"))
     text = F.when(F.col("meant").isNotNull(), F.replace(F.col("t"), core, cased)).otherwise(F.col("t"))
