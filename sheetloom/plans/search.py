@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheetloom.tables import table
@@ -198,15 +201,68 @@ SEARCH_FRESH_SQL = """
     FROM (SELECT discipline, (epoch_us((SELECT max(ingested_at) FROM schedule_row)) - epoch_us(ingested_at)) / 86400000000.0 AS age FROM schedule_row)) GROUP BY discipline"""
 
 
+def _unit_rows(ids: pa.Array, vectors: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of length 1; those that are null, not of dim finite numbers, or zero are left out."""
+    whole = [(i, v) for i, v in zip(ids.to_pylist(), vectors.to_pylist()) if i is not None and v is not None and len(v) == dim and None not in v]
+    out = np.array([v for _, v in whole], np.float64).reshape(-1, dim)
+    norm = np.sqrt((out * out).sum(1))
+    good = np.isfinite(norm) & (norm > 0)
+    return np.array([i for i, _ in whole], np.int64)[good], out[good] / norm[good, None]
+
+
+def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of each row, ties by id: ids and scores. Places without a neighbour have the score -inf."""
+    if len(scores) and scores.shape[1] > k:
+        # ties at the k-th place are kept until ids decide
+        least = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k][:, None]
+        width = int((scores >= least).sum(1).max())
+        at = np.argpartition(-scores, min(width, scores.shape[1]) - 1, axis=1)[:, :width]
+        ids, scores = np.take_along_axis(ids, at, 1), np.take_along_axis(scores, at, 1)
+    order = np.lexsort((ids, -scores), axis=1)[:, :k]
+    return np.take_along_axis(ids, order, 1), np.take_along_axis(scores, order, 1)
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 50, block: int = 20_000) -> DataFrame:
+    """query_id, vec_id, score: the k vectors nearest to each query by cosine (5 decimals, ties by id), without itself; exact.
+
+    The queries go to all tasks in blocks of at most about `block`; each block sees every vector once, a task keeps the k
+    best of each query, and the best of all tasks are merged. Null, zero and odd-sized vectors are no neighbours and, as
+    queries, have none; of repeated query ids one row counts. An empty table gives an empty result.
+    """
+    spark = vectors.sparkSession
+    queries = queries.dropDuplicates(["vec_id"])
+    sizes = queries.where("embedding IS NOT NULL").groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).collect()
+    out = spark.createDataFrame([], "query_id bigint, vec_id bigint, score double")
+    for dim, n in sorted((r["dim"], r["n"]) for r in sizes):
+        blocks = -(-n // block)
+        for b in range(blocks):
+            own = queries.where((F.size("embedding") == dim) & (F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b)).select("vec_id", "embedding").toArrow()
+            shared = spark.sparkContext.broadcast(_unit_rows(own.column(0), own.column(1), dim))
+
+            def run(batches: Iterator[pa.RecordBatch], shared=shared, dim=dim) -> Iterator[pa.RecordBatch]:
+                query_ids, unit = shared.value
+                held = [(np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0))) for q in np.array_split(query_ids, -(-len(query_ids) // 500) or 1)]
+                parts = list(zip(np.array_split(query_ids, len(held)), np.array_split(unit, len(held))))
+                for batch in batches:
+                    ids, rows = _unit_rows(batch.column(0), batch.column(1), dim)
+                    for i, (q, u) in enumerate(parts):
+                        scores = np.round(u @ rows.T, 5) + 0.0
+                        scores[q[:, None] == ids[None, :]] = -np.inf
+                        found = np.broadcast_to(ids, scores.shape)
+                        held[i] = _best(np.concatenate([held[i][0], found], 1), np.concatenate([held[i][1], scores], 1), k)
+                for (q, _), (ids, scores) in zip(parts, held):
+                    real = np.isfinite(scores)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(q[:, None], ids.shape)[real]), pa.array(ids[real]), pa.array(scores[real])], names=["query_id", "vec_id", "score"])
+
+            out = out.unionByName(vectors.select("vec_id", "embedding").mapInArrow(run, "query_id bigint, vec_id bigint, score double"))
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return out.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k).drop("place")
+
+
 def search_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 50 vectors nearest to the first by cosine; exact, one pass, top-k per task before the driver."""
+    """The 50 vectors nearest to each whose id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings")
-    first = vectors.where("vec_id = 0").select("embedding").first()
-    q = F.array(*[F.lit(float(v)) for v in (first["embedding"] if first else [])]).cast("array<double>")
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, v: s + v)
-    e = F.col("embedding").cast("array<double>")
-    score = dot(e, q) / F.sqrt(dot(e, e)) / F.sqrt(dot(q, q))
-    return vectors.where("vec_id <> 0").select("vec_id", F.round(score, 5).alias("score")).orderBy(F.col("score").desc(), "vec_id").limit(50)
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
 SEARCH_NEAREST_SQL = """
