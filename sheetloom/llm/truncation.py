@@ -84,8 +84,8 @@ def _shape(line: Column) -> Column:
 def truncated(df: DataFrame, key: str, source: str, text: str, least_share: float = 0.002, least_lines: int = 3, keep=lambda x: x) -> DataFrame:
     """Texts that lost their end: key, source, cause ('field_limit' or 'transfer'), n_chars, n_bytes.
 
-    A closing line without end punctuation that recurs (digits aside) in at least least_share of all texts and
-    least_lines of them is a way to end, as is a list item whose last word ends other items or stands in prose. Null, empty
+    A closing line without end punctuation that recurs (digits aside) in at least least_share of all different texts and
+    least_lines of them is a way to end (copies of one text count once), as is a list item whose last word ends other items or stands in prose. Null, empty
     and blank texts are no cases. A null source is a source of its own. Repeated rows are judged alike. keep:
     called with the judged texts (without their bodies), to write them once.
     """
@@ -102,7 +102,7 @@ def truncated(df: DataFrame, key: str, source: str, text: str, least_share: floa
     within = F.transform(F.flatten(F.transform(items, lambda w: F.slice(w, 1, F.size(w) - 1))), lambda w: F.struct(w.alias("word"), F.lit(1).alias("place")))
     others = F.transform(F.flatten(F.transform(F.filter(inner, lambda s: ~s.rlike(ITEM)), words)), lambda w: F.struct(w.alias("word"), F.lit(0).alias("place")))
     x = x.withColumn("words", F.when(~F.col("structured"), F.array_distinct(F.concat(ends, within, others))))
-    judged = x.select("key", "source", "ending", "structured", "n_chars", "n_bytes", "last_word", "words", _shape(F.col("last_line")).alias("shape"))
+    judged = x.select("key", "source", "ending", "structured", "n_chars", "n_bytes", "last_word", "words", _shape(F.col("last_line")).alias("shape"), F.xxhash64("body").alias("body_id"))
     x = judged = keep(judged)
 
     limits = significant_lengths(length_counts(x)).select(F.col("source").alias("_s"), "measure", F.col("length").alias("_l"))
@@ -112,8 +112,9 @@ def truncated(df: DataFrame, key: str, source: str, text: str, least_share: floa
     at_limit = F.coalesce(F.col("at_chars") | F.col("at_bytes"), F.col("at_chars"), F.col("at_bytes"), F.lit(False))
 
     prose = judged.where(~F.col("structured"))
-    shapes = prose.where("ending = 'lost'").groupBy(F.col("shape").alias("_shape")).agg(F.count("*").alias("n_shape"))
-    closers = shapes.where(F.col("n_shape") >= max(least_lines, least_share * judged.count())).select("_shape", F.lit(True).alias("closes"))
+    # copies of a cut text can't vouch for its last line
+    shapes = prose.where("ending = 'lost'").select(F.col("shape").alias("_shape"), "body_id").distinct().groupBy("_shape").agg(F.count("*").alias("n_shape"))
+    closers = shapes.where(F.col("n_shape") >= max(least_lines, least_share * judged.select("body_id").distinct().count())).select("_shape", F.lit(True).alias("closes"))
     seen = prose.select(F.explode("words").alias("w")).groupBy(F.col("w.word").alias("_word")).agg(F.max("w.place").alias("place"))
     x = x.join(closers, (x["shape"] == closers["_shape"]) & (x["ending"] == "lost") & ~x["structured"], "left")
     x = x.join(seen, (x["last_word"] == seen["_word"]) & (x["ending"] == "open"), "left")

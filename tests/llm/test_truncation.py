@@ -55,3 +55,9 @@ def test_very_long_and_empty(spark):
     long = '{"a": "' + "x" * 300_000
     assert [r["key"] for r in truncated(frame(spark, [("s", long), ("s", long + '"}')]), "id", "src", "t").collect()] == [0]
     assert truncated(frame(spark, []), "id", "src", "t").count() == 0
+
+
+def test_copies_of_a_cut_text_do_not_vouch_for_its_end(spark):
+    cut = "The pump was tested.\nThe valve was in"
+    rows = [("s", cut), ("s", cut + "\n--\nforwarded by mail intake, batch 7")] * 10 + [("s", f"Note {i} was read.\nEND OF SECTION") for i in range(10)]
+    assert {r["key"] for r in truncated(frame(spark, rows), "id", "src", "t").collect()} == set(range(20))
