@@ -234,8 +234,15 @@ def with_next(x: DataFrame) -> DataFrame:
     )
 
 
-def vocabulary(x: DataFrame) -> DataFrame:
-    """word (lower case), n, n_upper (in capitals): words of body lines but for pieces at divided line ends and after them."""
+def distinct_texts(records: DataFrame) -> DataFrame:
+    """rec_src, rec_id of one record of each different text."""
+    return records.groupBy(F.xxhash64("text").alias("h")).agg(F.min(F.struct("rec_src", "rec_id")).alias("r")).select("r.*")
+
+
+def vocabulary(x: DataFrame, once: DataFrame) -> DataFrame:
+    """word (lower case), n, n_upper (in capitals): words of body lines but for pieces at divided line ends and after them.
+    Only the records in once count, so that copies of a page don't make its misread words frequent."""
+    x = x.join(once, ["rec_src", "rec_id"], "left_semi").dropDuplicates(["rec_src", "rec_id", "line_no"])
     own = Window.partitionBy("rec_src", "rec_id").orderBy("line_no")
     after = F.coalesce(F.lag("hyphen_end").over(own), F.col("row") == 1)
     inner = F.slice(F.col("tokens"), F.when(F.col("after"), 2).otherwise(1), F.greatest(F.lit(0), F.size("tokens") - F.col("after").cast("int") - F.col("hyphen_end").cast("int")))
@@ -288,9 +295,10 @@ def find_noise(records: DataFrame, keep, sample: int = SAMPLE_RECORDS) -> dict[s
     at the first run of the next page. An empty table gives empty results. No document's lines are gathered in one
     task: counts are pre-aggregated, windows run within a record and over one row per page of a document.
     """
-    lines = keep(label_lines(page_records(records), keep, sample))
+    records = page_records(records)
+    lines = keep(label_lines(records, keep, sample))
     x = keep(with_next(body_words(lines)))
-    known = keep(vocabulary(x))
+    known = keep(vocabulary(x, distinct_texts(records)))
 
     pieces = x.where("hyphen_end AND next_first IS NOT NULL AND next_first rlike '^\\\\p{L}|^[0-9+]'").select(
         "rec_src", "rec_id", "line_no", "next_rec", "next_line", F.regexp_replace("last", r"[-‐­]+$", "").alias("left_part"), F.col("next_first").alias("right_part")

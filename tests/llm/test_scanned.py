@@ -106,8 +106,15 @@ def test_viterbi_matches_brute_force():
 def test_misread_words_that_look_like_codes(spark):
     texts = [f"DRAWING TITLE: FLOOR PLAN\nas built, prior to the final test of item {i}, one whole field" for i in range(30)]
     texts += ["DRAWING TITLE: FLO0R PLAN", "TIT1E: LARGE", "seal it pri0r to the test", "a whi1e field", "the whole fie1d", "0ne field", "see A5 and sheet E1 at 20A/1P"]
-    rows = [("titleblock_text", i, i, None, t, False, "x") for i, t in enumerate([*texts, *["and DRAWING TITLE: while prior"] * 12])]
+    rows = [("titleblock_text", i, i, None, t, False, "x") for i, t in enumerate([*texts, *[f"and DRAWING TITLE: while prior {i}" for i in range(12)]])]
     df = spark.createDataFrame(rows, SCHEMA)
     assert {tuple(r) for r in defects(df, materialise).collect()} == {("titleblock_text", i, 1, "misread") for i in range(30, 36)}
     text = {r["rec_id"]: r["paragraph"] for r in paragraphs(df, materialise).where("rec_id BETWEEN 30 AND 36").collect()}
     assert text == {30: "DRAWING TITLE: FLOOR PLAN", 31: "TITLE: LARGE", 32: "seal it prior to the test", 33: "a while field", 34: "the whole field", 35: "one field", 36: "see A5 and sheet E1 at 20A/1P"}
+
+
+def test_copies_of_a_page_do_not_hide_its_misread_words(spark):
+    rows = [("titleblock_text", i, i, None, f"test item {i} before use", False, "x") for i in range(30)]
+    rows += [("titleblock_text", 100 + i, i, None, "test it bef0re use", False, "x") for i in range(15)] + [("titleblock_text", 100, 0, None, "test it bef0re use", False, "x")] * 9
+    got = {tuple(r) for r in defects(spark.createDataFrame(rows, SCHEMA), materialise).collect()}
+    assert got == {("titleblock_text", 100 + i, 1, "misread") for i in range(15)}
