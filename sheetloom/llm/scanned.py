@@ -351,12 +351,16 @@ def defects(records: DataFrame, keep) -> DataFrame:
 
 def paragraphs(records: DataFrame, keep) -> DataFrame:
     """rec_src, rec_id, par_no, paragraph: continuous text without running lines, divided words joined, misread words
-    corrected. A remainder of a divided word on the next page moves to the page where the word began."""
+    corrected. A remainder of a divided word on the next page moves to the page where the word began. Blank lines part
+    paragraphs, but not where a header or footer stands between them inside a sentence. Pages aren't joined."""
     found = find_noise(records, keep)
-    lines = found["lines"].where("label IN ('body', 'break')")
     own = Window.partitionBy("rec_src", "rec_id").orderBy("line_no")
+    so_far = lambda *labels: F.sum(F.col("label").isin(*labels).cast("int")).over(own)
+    x = found["lines"].withColumns({"breaks": so_far("break"), "running": so_far("header", "footer")}).where("label = 'body'")
     # a break inside a sentence that a running line caused is none
-    x = lines.withColumn("par_no", F.sum(F.when(F.col("label") == "break", 1).otherwise(0)).over(own)).where("label = 'body'")
+    goes_on = (F.col("running") > F.lag("running").over(own)) & ~F.lag(F.rtrim("line")).over(own).rlike(r"[.!?:;][\"'”)\]]*$") & F.trim("line").rlike(r"^\f?\p{Ll}")
+    x = x.withColumn("starts", (F.col("breaks") > F.lag("breaks").over(own)) & ~goes_on)
+    x = x.withColumn("par_no", F.sum(F.coalesce(F.col("starts"), F.lit(False)).cast("int")).over(own)).drop("breaks", "running", "starts")
     joins = found["broken"].select("rec_src", "rec_id", "line_no", F.col("right_part").alias("moved_in"))
     taken = found["broken"].select("rec_src", F.col("next_rec").alias("rec_id"), F.col("next_line").alias("line_no"), F.col("right_part").alias("moved_out")).dropDuplicates(["rec_src", "rec_id", "line_no"])
     x = x.join(joins, ["rec_src", "rec_id", "line_no"], "left").join(taken, ["rec_src", "rec_id", "line_no"], "left")
@@ -365,7 +369,10 @@ def paragraphs(records: DataFrame, keep) -> DataFrame:
     tokens = F.when(F.col("moved_out").isNotNull(), F.concat(F.filter(F.array(tail), lambda t: t != ""), F.slice(tokens, 2, 100000))).otherwise(tokens)
     joined = F.when(F.col("moved_in").isNotNull(), F.concat(F.slice(tokens, 1, F.greatest(F.lit(0), F.size(tokens) - 1)), F.array(F.concat(F.regexp_replace(F.element_at(tokens, -1), r"[-‐­]+$", ""), F.col("moved_in"))))).otherwise(tokens)
     words = x.select("rec_src", "rec_id", "par_no", "line_no", F.posexplode(joined).alias("at", "t")).withColumns({"word": F.lower(bare(F.col("t"))), "code": bare(F.col("t")).rlike(CODE)})
-    words = words.join(found["wrong"], ["word", "code"], "left")
+    # divided words are corrected as the word they make
+    whole = found["broken"].where("whole_meant IS NOT NULL").select(F.col("whole").alias("word"), F.lit(False).alias("code"), F.col("whole_meant").alias("meant"))
+    wrong = found["wrong"].unionByName(whole).groupBy("word", "code").agg(F.min("meant").alias("meant"))
+    words = words.join(wrong, ["word", "code"], "left")
     core = bare(F.col("t"))
     cased = F.when(core == F.upper(core), F.upper("meant")).when(F.substring(core, 1, 1).rlike(r"\p{Lu}"), F.concat(F.upper(F.substring("meant", 1, 1)), F.substring("meant", 2, 1000))).otherwise(F.col("meant"))
     text = F.when(F.col("meant").isNotNull(), F.replace(F.col("t"), core, cased)).otherwise(F.col("t"))

@@ -118,3 +118,11 @@ def test_copies_of_a_page_do_not_hide_its_misread_words(spark):
     rows += [("titleblock_text", 100 + i, i, None, "test it bef0re use", False, "x") for i in range(15)] + [("titleblock_text", 100, 0, None, "test it bef0re use", False, "x")] * 9
     got = {tuple(r) for r in defects(spark.createDataFrame(rows, SCHEMA), materialise).collect()}
     assert got == {("titleblock_text", 100 + i, 1, "misread") for i in range(15)}
+
+
+def test_paragraphs_over_running_lines_and_divided_misread_words(spark, made):
+    rows, _ = made
+    text = "The transformer serving the\n\n- 12 -\n\nlaboratory shall be coordinated.\n\nThe generator has a trans-\nf0rmer before it."
+    df = spark.createDataFrame([*rows, ("raw_text", 9100, 9100, None, text, True, "x")], SCHEMA)
+    got = [r["paragraph"] for r in paragraphs(df, materialise).where("rec_id = 9100").orderBy("par_no").collect()]
+    assert got == ["The transformer serving the laboratory shall be coordinated.", "The generator has a transformer before it."]
