@@ -10,18 +10,16 @@ spam if more than half of its characters are so marked.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LINK = re.compile(r"<a\s[^>]*>|</a>|\]\([^)\s]*\)|(?:https?://|www\.)\S+")
-TOKEN = re.compile(r"[^\W_]+")
-DIGIT = re.compile(r"\d")
+#: Without any of these a text holds no link.
+LINK_SIGNS = ("<a", "</a>", "](", "://", "www.")
 
 #: Pairs to each side in a window; mean information (bits) below which a window is word salad.
 WINDOW, SALAD = 12, -0.9
@@ -30,156 +28,256 @@ WINDOW, SALAD = 12, -0.9
 REACH, DENSE, TIMES, LEAST, AROUND, COHERENT = 20, 0.12, 2.5, 4, 4, 0.5
 #: The share of the texts having a word in which it is at most usually dense; histogram steps per doubling of density.
 USUAL, STEPS = 0.97, 8
-#: Words in fewer texts than FEW are taken to be usually no denser than RARE_DENSITY.
-FEW, RARE_DENSITY = 30, 0.04
+#: What the usual density of a word is shrunk to, and with the weight of how many texts.
+RARE_DENSITY, RARE_WEIGHT = 0.04, 15
+#: Statistics (of words and pairs, 12 bytes each) that every task may hold; the rarer ones beyond are joined.
+HELD = 4_000_000
+#: Code points that a task takes apart at once (a longer text is taken by itself).
+BLOCK = 1_000_000
 
-_IDS: dict[str, int] = {}
+_ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_TABLES: list[np.ndarray] = []
 
 
-def word_id(word: str) -> int:
-    found = _IDS.get(word)
-    if found is None:
-        if len(_IDS) > 500_000:
-            _IDS.clear()
-        found = _IDS[word] = xxhash.xxh3_64_intdigest(word) >> 1 or 1
-    return found
+def _tables(largest: int) -> list[np.ndarray]:
+    """Class (0 between words, 1 in words, 2 digit) and lower-case form of all code points up to the largest seen."""
+    if not _TABLES or len(_TABLES[0]) <= largest:
+        n = max(0x3000, largest + 1)
+        chars = [chr(i) for i in range(n)]
+        lower = [c.lower() for c in chars]
+        _TABLES[:] = [np.array([2 if c.isdecimal() else int(c.isalnum()) for c in chars], np.uint8), np.array([ord(c) if len(c) == 1 else i for i, c in enumerate(lower)], np.uint32)]
+    return _TABLES
 
 
-def tokens(text: str) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """Ids and starts of the words outside links (those with digits left out), and the links' spans."""
-    links = [m.span() for m in LINK.finditer(text)]
-    ids, starts, at = [], [], 0
-    for a, b in [*links, (len(text), len(text))]:
-        for m in TOKEN.finditer(text, at, a):
-            word = m.group()
-            if not DIGIT.search(word):
-                ids.append(word_id(word.lower()))
-                starts.append(m.start())
-        at = b
-    return np.array(ids, np.int64), np.array(starts, np.int64), links
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * _MIX
+    return x ^ (x >> np.uint64(32))
 
 
-def pair_ids(ids: np.ndarray) -> np.ndarray:
+class Block:
+    """Texts taken apart together: ids, starts (code points from the block's beginning) and text numbers (of) of their words outside
+    links (those with digits left out), first (number of each text's first word, and one past the last), links (spans), at (where each
+    text begins, and one past the last), sizes."""
+
+    def __init__(self, texts: list[str]) -> None:
+        self.sizes = np.array([len(t) for t in texts], np.int64)
+        self.at = np.concatenate([[0], np.cumsum(self.sizes + 1)])
+        self.links: list[tuple[int, int]] = []
+        plain = []
+        for offset, text in zip(self.at.tolist(), texts):
+            if any(sign in text for sign in LINK_SIGNS):
+                spans = [m.span() for m in LINK.finditer(text)]
+                self.links += [(offset + a, offset + b) for a, b in spans]
+                text = LINK.sub(lambda m: " " * len(m.group()), text)
+            plain.append(text)
+        points = np.frombuffer("\0".join([*plain, ""]).encode("utf-32-le"), np.uint32)
+        kinds, lower = _tables(int(points.max(initial=0)))
+        kind = kinds[points]
+        inside = kind > 0
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]])))
+        starts, lengths = edges[::2], edges[1::2] - edges[::2]
+        if not len(starts):
+            self.ids, self.starts, self.of = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+            self.first = np.zeros(len(texts) + 1, np.int64)
+            return
+        at = np.flatnonzero(inside)
+        begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        with np.errstate(over="ignore"):
+            powers = np.cumprod(np.full(int(lengths.max()), _ODD, np.uint64))
+            letters = (lower[points[at]].astype(np.uint64) + np.uint64(1)) * powers[at - np.repeat(starts, lengths)]
+            ids = (_mixed(np.add.reduceat(letters, begin)) >> np.uint64(1)).astype(np.int64)
+        plainly = np.maximum.reduceat(kind[at], begin) < 2
+        self.ids, self.starts = ids[plainly], starts[plainly]
+        self.of = np.searchsorted(self.at, self.starts, side="right") - 1
+        self.first = np.searchsorted(self.starts, self.at)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pairs of neighbours within a text, and the number of each pair's first word."""
+        where = np.flatnonzero(self.of[1:] == self.of[:-1])
+        with np.errstate(over="ignore"):
+            a, b = self.ids[where].astype(np.uint64), self.ids[where + 1].astype(np.uint64)
+            return (_mixed(a * _ODD ^ (b * _MIX + np.uint64(0x165667B19E3779F9))) >> np.uint64(1)).astype(np.int64), where
+
+
+def blocks(texts: list[str]) -> Iterator[tuple[int, Block]]:
+    """Blocks of neighbouring texts of at most about BLOCK code points, each with the number of its first text."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        if i > begin and size + len(text) > BLOCK:
+            yield begin, Block(texts[begin:i])
+            begin, size = i, 0
+        size += len(text)
+    if begin < len(texts):
+        yield begin, Block(texts[begin:])
+
+
+def _once(ids: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each different id of each text, and how often the text has it."""
     with np.errstate(over="ignore"):
-        a, b = ids[:-1].astype(np.uint64), ids[1:].astype(np.uint64)
-        mixed = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
-        return (mixed >> np.uint64(1)).astype(np.int64)
+        key = ids.astype(np.uint64) ^ (of.astype(np.uint64) + np.uint64(1)) * _ODD
+    order = np.argsort(key)
+    new = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0])) if len(key) else np.empty(0, np.int64)
+    return order[new], np.diff(np.append(new, len(key)))
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys, first, second = [], [], []
-        for text in batch.column(1):
-            ids, _, _ = tokens(text.as_py())
-            if len(ids) > 1:
-                k, at = np.unique(pair_ids(ids), return_index=True)
-                keys.append(k)
-                first.append(ids[at])
-                second.append(ids[at + 1])
-        if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, first, second)], names=["k", "a", "b"])
-
-
-def _densities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        words, steps = [], []
-        for text in batch.column(1):
-            ids, _, _ = tokens(text.as_py())
-            if len(ids):
-                k, n = np.unique(ids, return_counts=True)
-                words.append(k)
-                steps.append(np.floor(np.log2(n / len(ids)) * STEPS).astype(np.int32))
-        if words:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(words)), pa.array(np.concatenate(steps))], names=["a", "step"])
-
-
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+COUNTS = "k bigint, a bigint, b bigint, step int"
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """k, a, b, step: a word (k, step of its density) or a pair (k, its words a and b), once for each text having it."""
     for batch in batches:
-        own, keys = [], []
-        for h, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids, _, _ = tokens(text.as_py())
-            if len(ids):
-                k = np.unique(np.concatenate([ids, pair_ids(ids)]))
-                keys.append(k)
-                own.append(np.full(len(k), h, np.int64))
-        if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own)), pa.array(np.concatenate(keys))], names=["h", "k"])
-
-
-def spam_share(text: str, keys: np.ndarray, values: np.ndarray) -> float:
-    """Share of the text's characters in salad, stuffing and links. keys (ascending) and values hold the
-    information of its pairs and the usual density of its words."""
-    ids, starts, links = tokens(text)
-    spam = np.zeros(len(text), bool)
-    ends = np.append(starts[1:], len(text)) if len(starts) else starts
-    if len(ids) > 1:
-        bits = values[np.searchsorted(keys, pair_ids(ids))]
-        total, at = np.concatenate([[0.0], np.cumsum(bits)]), np.arange(len(bits))
-        low, high = np.maximum(at - WINDOW, 0), np.minimum(at + WINDOW + 1, len(bits))
-        mean = (total[high] - total[low]) / (high - low)
-        mean = np.append(mean, mean[-1])
+        for _, block in blocks(batch.column(0).to_pylist()):
+            at, n = _once(block.ids, block.of)
+            lengths = np.diff(block.first)[block.of[at]]
+            words, steps = block.ids[at], np.floor(np.log2(n / lengths) * STEPS).astype(np.int32)
+            pairs, where = block.pairs()
+            once, _ = _once(pairs, block.of[where])
+            first, second = block.ids[where[once]], block.ids[where[once] + 1]
+            none = pa.nulls(len(words), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(words), none, none, pa.array(steps)], names=["k", "a", "b", "step"])
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[once]), pa.array(first), pa.array(second), pa.nulls(len(once), pa.int32())], names=["k", "a", "b", "step"])
+
+
+def looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the asked keys (0 for those that keys, ascending, don't have) and which it has."""
+    if not len(keys):
+        return np.zeros(len(asked), np.float32), np.zeros(len(asked), bool)
+    order = np.argsort(asked)  # ascending questions are answered much faster
+    at = np.empty(len(asked), np.int64)
+    at[order] = np.minimum(np.searchsorted(keys, asked[order]), len(keys) - 1)
+    has = keys[at] == asked
+    return np.where(has, values[at], np.float32(0)), has
+
+
+def _added(n: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Which of n places lie in any of the spans from low to (without) high."""
+    change = np.bincount(low, minlength=n + 1).astype(np.int64)
+    change -= np.bincount(high, minlength=n + 1)
+    return np.cumsum(change)[:n] > 0
+
+
+def spam_shares_of(block: Block, bits: np.ndarray, where: np.ndarray, usual: np.ndarray) -> np.ndarray:
+    """Share of each text's characters in salad, stuffing and links. bits: information of the block's pairs (which begin
+    at the words where), usual: usual density of its words."""
+    n = len(block.ids)
+    low_of, high_of = block.first[:-1][block.of], block.first[1:][block.of]
+    chars = int(block.at[-1])
+    begin, end = np.empty(0, np.int64), np.empty(0, np.int64)
+    if len(bits):
+        total = np.concatenate([[0.0], np.cumsum(bits, dtype=np.float64)])
+        # the pairs of a text are numbered on from its first word's, one fewer than its words
+        number = np.searchsorted(where, np.arange(n + 1))
+        at = np.arange(len(bits))
+        low, high = np.maximum(at - WINDOW, number[low_of[where]]), np.minimum(at + WINDOW + 1, number[high_of[where]])
+        mean = np.full(n, np.inf)
+        mean[where] = (total[high] - total[low]) / (high - low)
+        last = block.first[1:][np.diff(block.first) > 1] - 1
+        mean[last] = mean[last - 1]
         marked = mean < SALAD
-        usual = values[np.searchsorted(keys, ids)]
-        places = defaultdict(list)
-        for i, word in enumerate(ids.tolist()):
-            places[word].append(i)
-        for where in places.values():
-            if len(where) >= LEAST:
-                p = np.array(where)
-                n = np.searchsorted(p, p + REACH, side="right") - np.searchsorted(p, p - REACH)
-                room = np.minimum(p + REACH + 1, len(ids)) - np.maximum(p - REACH, 0)
-                dense = (n >= LEAST) & (n >= DENSE * room) & (n >= TIMES * usual[p] * room)
-                for i in p[dense]:
-                    a, b = max(0, i - AROUND), i + AROUND + 1
-                    marked[a:b] |= mean[a:b] < COHERENT
-        for i in np.flatnonzero(marked):
-            spam[starts[i] : ends[i]] = True
-    for a, b in links:
-        spam[a:b] = True
-    return float(spam.mean()) if len(text) else 0.0
-
-
-def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for text, keys, values in zip(batch.column(1), batch.column(2), batch.column(3)):
-            k, v = (np.array(x.values, t) if x.is_valid else np.empty(0, t) for x, t in ((keys, np.int64), (values, np.float32)))
-            order = np.argsort(k)
-            out.append(spam_share(text.as_py(), k[order], v[order]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["h", "share"])
+        order = np.lexsort((block.ids, block.of))
+        new = np.concatenate([[True], (np.diff(block.ids[order]) != 0) | (np.diff(block.of[order]) != 0)])
+        place = (np.cumsum(new) * (n + 2 * REACH)) + order
+        near = np.empty(n, np.int64)
+        near[order] = np.searchsorted(place, place + REACH, side="right") - np.searchsorted(place, place - REACH)
+        each = np.arange(n)
+        room = np.minimum(each + REACH + 1, high_of) - np.maximum(each - REACH, low_of)
+        dense = np.flatnonzero((near >= LEAST) & (near >= DENSE * room) & (near >= TIMES * usual * room) & (high_of - low_of > 1))
+        around = _added(n, np.maximum(dense - AROUND, low_of[dense]), np.minimum(dense + AROUND + 1, high_of[dense]))
+        marked |= around & (mean < COHERENT)
+        found = np.flatnonzero(marked)
+        ends = np.append(block.starts[1:], chars)
+        ends = np.where(np.arange(n) == high_of - 1, block.at[1:][block.of] - 1, ends)
+        begin, end = block.starts[found], ends[found]
+    if block.links:
+        spans = np.array(block.links, np.int64)
+        begin, end = np.concatenate([begin, spans[:, 0]]), np.concatenate([end, spans[:, 1]])
+    spam = np.concatenate([[0], np.cumsum(_added(chars, begin, end))])
+    return (spam[block.at[1:] - 1] - spam[block.at[:-1]]) / np.maximum(block.sizes, 1)
 
 
 def corpus_statistics(texts: DataFrame, keep=lambda x: x) -> DataFrame:
-    """k, v for all texts (h, text): of a pair its information in bits, of a word its usual density."""
+    """k, v, n for all texts (column text): of a pair its information in bits, of a word its usual density; n texts have it.
+
+    One pass takes the texts apart; its rows are counted with map-side partial sums, so frequent words cost one row per task.
+    The usual density of a word is the USUAL quantile over the texts that have it, shrunk to RARE_DENSITY where these are few.
+    """
     n = texts.count()
-    steps = texts.mapInArrow(_densities, "a bigint, step int").groupBy("a", "step").agg(F.count("*").alias("n"))
-    words = keep(steps.groupBy("a").agg(F.sum("n").alias("df"), F.percentile("step", F.lit(USUAL), F.col("n")).alias("step")))
-    pairs = texts.mapInArrow(_pairs, "k bigint, a bigint, b bigint").groupBy("k", "a", "b").agg(F.count("*").alias("n"))
-    first, second = words.select("a", F.col("df").alias("df_a")), words.select(F.col("a").alias("b"), F.col("df").alias("df_b"))
+    counts = keep(texts.select("text").mapInArrow(_counts, COUNTS).groupBy("k", "a", "b", "step").agg(F.count("*").alias("n")))
+    words = counts.where("step IS NOT NULL").groupBy("k").agg(F.sum("n").alias("n"), F.percentile("step", F.lit(USUAL), F.col("n")).alias("step"))
+    words = keep(words)
+    pairs = counts.where("step IS NULL").select("k", "a", "b", F.col("n"))
+    first, second = words.select(F.col("k").alias("a"), F.col("n").alias("df_a")), words.select(F.col("k").alias("b"), F.col("n").alias("df_b"))
     raw = F.log2(F.col("n").cast("double") * n / F.col("df_a") / F.col("df_b"))
     # high information of rare pairs is discounted (as by Pantel and Lin, with 5 for 1): it may be chance
     rarer = F.least("df_a", "df_b")
     discounted = F.when(raw > 0, raw * F.col("n") / (F.col("n") + 5) * rarer / (rarer + 5)).otherwise(raw)
-    bits = pairs.join(first, "a").join(second, "b").groupBy("k").agg(F.max(discounted).cast("float").alias("v"))
-    usual = F.pow(F.lit(2.0), (F.col("step") + 1) / STEPS)
-    usual = F.when(F.col("df") < FEW, F.least(usual, F.lit(RARE_DENSITY))).otherwise(usual)
-    usual = words.select(F.col("a").alias("k"), usual.cast("float").alias("v"))
+    bits = pairs.join(first, "a").join(second, "b").groupBy("k").agg(F.max(discounted).cast("float").alias("v"), F.max("n").alias("n"))
+    step = (F.col("step") + 1) / STEPS
+    shrunk = (F.col("n") * step + RARE_WEIGHT * float(np.log2(RARE_DENSITY))) / (F.col("n") + RARE_WEIGHT)
+    usual = words.select("k", F.pow(F.lit(2.0), F.least(step, shrunk)).cast("float").alias("v"), "n")
     return bits.unionByName(usual)
 
 
-def spam_shares(docs: DataFrame, key: str, text: str, keep) -> DataFrame:
+def _least_held(statistics: DataFrame, held: int) -> int:
+    """The least n for which at most `held` statistics are as frequent."""
+    total, least = 0, None
+    steps = statistics.groupBy(F.floor(F.log2("n") * 4).alias("step")).agg(F.count("*").alias("rows"), F.min("n").alias("n")).orderBy(F.col("step").desc()).collect()  # bounded: quarter octaves of a count
+    for row in steps:
+        total += row["rows"]
+        if total > held:
+            break
+        least = row["n"]
+    return least if least is not None else steps[0]["n"] + 1 if steps else 1
+
+
+def spam_shares(docs: DataFrame, key: str, text: str, keep, held: int = HELD) -> DataFrame:
     """<key>, share: the spam share of each document; copies share one evaluation.
 
     keep: writes a frame and reads it again (distinct texts are numbered by it, so they must stay the same).
-    Null texts are left out, empty ones have share 0; repeated rows each get theirs. Shuffled are the distinct
-    texts, and per text its distinct words and pairs as two numbers each; corpus statistics are joined, not
-    broadcast, as they grow with the vocabulary.
+    Null texts are left out, empty ones have share 0; repeated rows each get theirs; an empty table has none. Shuffled are the
+    distinct texts, once, and counts. Each task holds the most frequent statistics, at most `held` of them; rarer ones, if
+    there are more, are joined to the texts that have them, so no key of that join is in many texts.
     """
     x = docs.where(F.col(text).isNotNull()).select(F.col(key).alias(key), F.unhex(F.sha2(F.col(text), 256)).alias("_sha"), F.col(text).alias("_text"))
-    texts = keep(x.select("_sha", "_text").dropDuplicates(["_sha"]).select(F.monotonically_increasing_id().alias("h"), "_text", "_sha"))
-    plain = texts.select("h", F.col("_text").alias("text"))
-    statistics = corpus_statistics(plain, keep)
-    used = plain.mapInArrow(_keys, "h bigint, k bigint").join(statistics, "k").groupBy("h").agg(F.collect_list(F.struct("k", "v")).alias("kv"))
-    joined = plain.join(used, "h", "left").select("h", "text", F.col("kv.k").alias("k"), F.col("kv.v").alias("v"))
-    shares = joined.mapInArrow(_shares, "h bigint, share double").join(texts.select("h", "_sha"), "h").select("_sha", "share")
+    texts = keep(x.select("_sha", "_text").dropDuplicates(["_sha"]).select(F.monotonically_increasing_id().alias("h"), F.col("_text").alias("text"), "_sha"))
+    statistics = keep(corpus_statistics(texts, keep))
+    total = statistics.count()
+    least = 0 if total <= held else _least_held(statistics, held)
+    own = statistics.where(F.col("n") >= least).select("k", "v").toArrow()
+    keys, values = own.column(0).to_numpy(), own.column(1).to_numpy()
+    order = np.argsort(keys)
+    shared = docs.sparkSession.sparkContext.broadcast((keys[order], values[order]))
+
+    def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, block in blocks(batch.column(1).to_pylist()):
+                pairs, where = block.pairs()
+                asked, of = np.concatenate([block.ids, pairs]), np.concatenate([block.of, block.of[where]])
+                once, _ = _once(asked, of)
+                rare = once[~looked_up(*shared.value, asked[once])[1]]
+                h = batch.column(0).to_numpy()[begin + of[rare]]
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(asked[rare])], names=["h", "k"])
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts_of, more = batch.column(1).to_pylist(), batch.column(2) if batch.num_columns > 2 else None
+            out = []
+            for begin, block in blocks(texts_of):
+                pairs, where = block.pairs()
+                bits, _ = looked_up(*shared.value, pairs)
+                usual, _ = looked_up(*shared.value, block.ids)
+                if more is not None:
+                    rest = [(i, v) for i, v in enumerate(more[begin : begin + len(block.sizes)].to_pylist()) if v]
+                    mixed = {(i, e["k"]): e["v"] for i, v in rest for e in v}
+                    for ids, of, into in ((pairs, block.of[where], bits), (block.ids, block.of, usual)):
+                        for i in np.flatnonzero(~looked_up(*shared.value, ids)[1]):
+                            into[i] = mixed[int(of[i]), int(ids[i])]
+                out.append(spam_shares_of(block, bits, where, usual))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out) if out else np.empty(0), pa.float64())], names=["h", "share"])
+
+    asked = texts.select("h", "text")
+    if least:
+        rare = asked.mapInArrow(missing, "h bigint, k bigint").join(statistics.where(F.col("n") < least).select("k", "v"), "k")
+        asked = asked.join(rare.groupBy("h").agg(F.collect_list(F.struct("k", "v")).alias("kv")), "h", "left")
+    shares = asked.mapInArrow(scored, "h bigint, share double").join(texts.select("h", "_sha"), "h").select("_sha", "share")
     return x.select(key, "_sha").join(shares, "_sha").select(key, "share")

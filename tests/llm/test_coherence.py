@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import random
 
-from sheetloom.llm.coherence import spam_shares, tokens
+import numpy as np
+
+from sheetloom.llm import coherence
+from sheetloom.llm.coherence import Block, blocks, spam_shares
 from sheetloom.tables import materialise
 
 NOUNS = [f"{a}{b}" for a in ("pump", "valve", "duct", "panel", "conduit", "soffit", "grille", "sleeve", "boiler", "dimmer") for b in ("", "set", "box", "head")]
@@ -41,9 +44,27 @@ def test_spam_is_found(spark):
     assert flagged == want, (sorted(flagged - want), sorted(want - flagged))
 
 
-def test_tokens_skip_links_and_codes():
-    ids, starts, links = tokens("See [duct work](https://a.example/x1) A56 and www.b.test/pump now")
-    assert len(ids) == 5 and [*starts] == [0, 5, 10, 42, 62] and len(links) == 2
+def test_words_skip_links_and_codes():
+    block = Block(["", "See [duct work](https://a.example/x1) A56 and www.b.test/pump now", "DUCT \u00c9TAGE duct"])
+    assert [*(block.starts - block.at[1])][:5] == [0, 5, 10, 42, 62] and len(block.links) == 2 and [*block.of] == [1] * 5 + [2] * 3
+    assert block.ids[1] == block.ids[5] == block.ids[7] and len({*block.ids}) == 6
+
+
+def test_blocks_are_the_same_whatever_their_size(monkeypatch):
+    texts = [*corpus()[0][:50], "", "x", "\U0001f600 pump"]
+    whole = Block(texts)
+    monkeypatch.setattr(coherence, "BLOCK", 200)
+    parts = [*blocks(texts)]
+    assert len(parts) > 10 and [*np.concatenate([b.ids for _, b in parts])] == [*whole.ids] and [*np.concatenate([b.of + n for n, b in parts])] == [*whole.of]
+
+
+def test_rare_statistics_are_joined_where_too_many_to_hold(spark):
+    clean, spam = corpus()
+    rows = [*enumerate(clean + spam)] + [(9000, "pump " * 50_000), (9001, "long " + "x" * 300_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {tuple(r) for r in spam_shares(df, "doc_id", "text", materialise).collect()}
+    for held in (1, 300):
+        assert {tuple(r) for r in spam_shares(df, "doc_id", "text", materialise, held=held).collect()} == want
 
 
 def test_empty(spark):
