@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from sheetloom.llm.scanned import LineModel, defects, features, paragraphs, pattern
+from sheetloom.llm.scanned import LineModel, corrections, defects, features, paragraphs, pattern
 from sheetloom.tables import materialise
 
 SCHEMA = "rec_src string, rec_id bigint, doc_id bigint, page int, text string, has_pages boolean, label string"
@@ -126,3 +126,40 @@ def test_paragraphs_over_running_lines_and_divided_misread_words(spark, made):
     df = spark.createDataFrame([*rows, ("raw_text", 9100, 9100, None, text, True, "x")], SCHEMA)
     got = [r["paragraph"] for r in paragraphs(df, materialise).where("rec_id = 9100").orderBy("par_no").collect()]
     assert got == ["The transformer serving the laboratory shall be coordinated.", "The generator has a transformer before it."]
+
+
+def test_long_running_headers_and_headers_of_unwrapped_texts(spark, made):
+    """A header of more than 120 characters, and headers in texts whose lines aren't wrapped."""
+    rng, rows = random.Random(8), [*made[0]]
+    head = "MERIDIAN HALL PROJECT MANUAL " * 5 + "VOLUME"
+    for doc in range(12):
+        pages = ["\n".join([head, *wrapped(sentences(rng, 4), 50, rng)[0], f"- {page} -"]) for page in range(1, 4)]
+        rows += [("ocr_text", 20_000 + doc * 10 + n, 20_000 + doc, n, t, True, "x") for n, t in enumerate(pages)]
+        rows.append(("raw_text", 30_000 + doc, 30_000 + doc, None, "\n\n".join(f"ALDER HALL - SECTION 09\n{sentences(rng, 3)}" for _ in range(5)), True, "x"))
+    got = {tuple(r) for r in defects(spark.createDataFrame(rows, SCHEMA), materialise).where("defect = 'furniture'").collect()}
+    assert {("ocr_text", 20_000 + doc * 10 + n, 1, "furniture") for doc in range(12) for n in range(3)} <= got
+    assert {("raw_text", 30_000 + doc, n, "furniture") for doc in range(12) for n in (1, 4, 7, 10, 13)} == {x for x in got if x[0] == "raw_text" and x[1] >= 30_000}
+
+
+def test_corrections_of_long_and_short_words(spark):
+    long = "electro" + "magnetohydrodynamic" * 4
+    known = spark.createDataFrame([(long, 9), ("tool", 400), ("word", 10), ("pool", 30)], "word string, n bigint")
+    words = spark.createDataFrame([(long.replace("o", "0").replace("l", "1", 1), 1), ("t00l", 1), ("w0rcl", 1), ("p00l", 1), ("x", 1), ("12", 5)], "word string, n bigint")
+    got = {r["word"]: (r["meant"], r["first_at"], r["last_at"]) for r in corrections(words, known).collect()}
+    wrong = long.replace("o", "0").replace("l", "1", 1)
+    differ = [i for i, (a, b) in enumerate(zip(wrong, long)) if a != b]
+    assert got == {wrong: (long, differ[0], differ[-1]), "t00l": ("tool", 1, 2)}
+
+
+def test_rare_forms_are_joined_where_too_many_to_hold(spark, made):
+    df = spark.createDataFrame(made[0], SCHEMA)
+    for find in (defects, paragraphs):
+        want = {tuple(r) for r in find(df, materialise).collect()}
+        assert {tuple(r) for r in find(df, materialise, held=20).collect()} == want and want
+
+
+def test_paragraphs_end_at_headings_and_short_lines(spark, made):
+    text = "The transformer serving the laboratory shall be coordinated\nwith the generator.\nThe contractor shall coordinate the enclosure of the panel\nbefore final inspection.\n1.5 SHOP DRAWINGS\nSubmit drawings of the enclosure."
+    df = spark.createDataFrame([*made[0], ("raw_text", 9200, 9200, None, text, True, "x")], SCHEMA)
+    got = [r["paragraph"] for r in paragraphs(df, materialise).where("rec_id = 9200").orderBy("par_no").collect()]
+    assert got == ["The transformer serving the laboratory shall be coordinated with the generator.", "The contractor shall coordinate the enclosure of the panel before final inspection.", "1.5 SHOP DRAWINGS", "Submit drawings of the enclosure."]
