@@ -75,17 +75,18 @@ def discovered(tests: DataFrame, family: list[str], ties: list[str], alpha: floa
     return x.withColumn("_passed", passed).where("_rank <= _passed").drop("_rank", "_tests", "_passed")
 
 
-def limits_of(x: DataFrame) -> DataFrame:
+def limits_of(x: DataFrame, keep=lambda x: x) -> DataFrame:
     """source, measure, length of significant lengths of x (source, n_chars, n_bytes, is_open). A source's measure with the
     smallest tail is taken first; of the other only texts that the first doesn't explain are tested."""
-    first = significant_lengths(length_counts(x))
+    first = keep(significant_lengths(length_counts(x)))
     leading = first.groupBy("source").agg(F.min(F.struct("log_p", "measure"))["measure"].alias("_lead"))
     first = first.join(leading.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")) & (F.col("measure") == F.col("_lead"))).select("source", "measure", "length")
+    first = keep(first)
     rest = left_over(x, first)
     other = significant_lengths(length_counts(rest))
     done = first.select(F.col("source").alias("_s"), F.col("measure").alias("_m")).distinct()
     other = other.join(done, other["source"].eqNullSafe(done["_s"]) & (other["measure"] == done["_m"]), "left_anti").select("source", "measure", "length")
-    return first.unionByName(other)
+    return keep(first.unionByName(other))
 
 
 def at_limits(x: DataFrame, limits: DataFrame) -> DataFrame:
@@ -106,51 +107,51 @@ def judge_endings(df: DataFrame) -> DataFrame:
     that something may have closed: closed_word (the word before all closing marks) and bare_string (the last string of a
     structured text is a sentence without an end mark) to df (text, body)."""
     body = F.col("body")
+    # inline() of one element keeps the optimizer from copying what was found into every later use
     inside = F.regexp_replace(F.regexp_replace(body, INTRODUCTION, ""), STRINGS, "")
-    depth = F.length(F.translate(inside, "}]", "")) - F.length(F.translate(inside, "{[", ""))
-    fenced = (F.regexp_count(body, F.lit("```")) % 2) == 1
     last_line = F.substring_index(body, "\n", -1)  # a pattern that ends in $ would be tried from every place of a long text
-    bullet = last_line.rlike(r"^\s*(?:[-*•]|\d+[.)])\s")
-    prose = (
-        F.when(F.regexp_replace("text", TRAILER, "").rlike(ANNOUNCED), "announced")
-        .when(body.rlike(r"[.!?;)\]}|>\"”`]$") & ~body.rlike(ELLIPSIS), "whole")
-        .when(bullet & body.rlike(r"[\p{L}\p{N}]$"), "open")
-        .otherwise("lost")
-    )
     structured = body.rlike(STRUCTURED)
+    string = F.regexp_extract(F.rtrim(body, F.lit(BLANKS + "]}`")), LAST_STRING, 0)
+    first = F.struct(structured.alias("structured"), F.when(structured, inside).alias("_inside"), F.when(structured, string).alias("_string"), last_line.alias("last_line"), F.right(body, F.lit(3)).alias("_end"))
+    x = df.select("*", F.inline(F.array(first)))
+    end, inside, structured = F.col("_end"), F.col("_inside"), F.col("structured")
+    depth = F.length(F.translate(inside, "}]", "")) - F.length(F.translate(inside, "{[", ""))
+    fenced = (F.regexp_count(body, F.lit("```")) % 2) == 1
+    bullet = F.col("last_line").rlike(r"^\s*(?:[-*•]|\d+[.)])\s")
+    marked = end.rlike(r"[.!?;)\]}|>\"”`]$")
+    prose = F.when(F.regexp_replace("text", TRAILER, "").rlike(ANNOUNCED), "announced").when(marked & ~end.rlike(ELLIPSIS), "whole").when(bullet & end.rlike(r"[\p{L}\p{N}]$"), "open").otherwise("lost")
     ending = F.when(structured, F.when((depth > 0) | inside.contains('"') | fenced, "lost").otherwise("whole")).otherwise(prose)
-    string = F.nullif(F.regexp_extract(F.rtrim(body, F.lit(BLANKS + "]}`")), LAST_STRING, 0), F.lit(""))
-    core = F.when(structured, F.rtrim(string, F.lit('"'))).otherwise(F.rtrim(body, F.lit(CLOSERS)))
-    closed = F.when(structured, string.rlike(r"[\p{L}\p{N}]\"$")).otherwise(body.rlike(r"[.!?;)\]}|>\"”`]$"))
-    word = F.lower(F.regexp_extract(core, LAST_WORD, 0))
-    return df.withColumns({
-        "structured": structured, "ending": ending, "last_line": last_line, "last_word": F.lower(F.regexp_extract(body, LAST_WORD, 0)), "is_bullet": bullet,
-        "closed_word": F.when((ending == "whole") & closed & word.rlike(r"^\p{L}{2,}$"), word),
-        "bare_string": F.coalesce(structured & (ending == "whole") & closed & string.rlike(r"\S\s+\S+\s+\S+\s+\S"), F.lit(False)),
-    })
+    closed = F.when(structured, F.col("_string").rlike(r"[\p{L}\p{N}]\"$")).otherwise(marked)
+    last = F.when(structured, F.rtrim("_string", F.lit('"'))).otherwise(F.rtrim("last_line", F.lit(CLOSERS)))
+    second = F.struct(ending.alias("ending"), closed.alias("_closed"), bullet.alias("is_bullet"), F.lower(F.regexp_extract("last_line", LAST_WORD, 0)).alias("last_word"), F.lower(F.regexp_extract(last, LAST_WORD, 0)).alias("_word"))
+    x = x.select("*", F.inline(F.array(second)))
+    maybe = (F.col("ending") == "whole") & F.col("_closed")
+    return x.withColumns({
+        "closed_word": F.when(maybe & F.col("_word").rlike(r"^\p{L}{2,}$"), F.col("_word")),
+        "bare_string": F.coalesce(maybe & F.col("structured") & F.col("_string").rlike(r"\S\s+\S+\s+\S+\s+\S"), F.lit(False)),
+    }).drop("_inside", "_string", "_end", "_closed", "_word")
 
 
 def _shape(line: Column) -> Column:
     return F.regexp_replace(F.trim(line), r"\d+", "9")
 
 
-def word_places(x: DataFrame) -> DataFrame:
+def word_places(x: DataFrame, keep=lambda x: x) -> DataFrame:
     """word, n (texts that have it before their last word), n_end (texts where it ends a sentence), place: 2 where it ends
     list items, 1 where it stands only in these, 0 elsewhere; of texts x (body, structured, is_bullet). Counted with
-    map-side partial sums, so a word that all texts have costs one row per task."""
-    sentence = F.transform(F.regexp_extract_all("body", F.lit(WORD + r"(?=[.!?;][\s\"”)]\s*\S)"), 1), lambda w: F.struct(F.lower(w).alias("word"), F.lit(3).alias("place")))
-    every = F.transform(F.regexp_extract_all("body", F.lit(WORD + r"(?=[^\p{L}\p{N}'-]++[\p{L}\p{N}'-])"), 1), lambda w: F.struct(F.lower(w).alias("word"), F.lit(4).alias("place")))
+    map-side partial sums of each text's different words, so a word that all texts have costs one row per task."""
+    every = F.regexp_extract_all(F.lower("body"), F.lit(WORD + r"(?:[.!?;](?=[\s\"”)]))?"), 0)
+    every = F.transform(F.slice(every, 1, F.greatest(F.size(every) - 1, F.lit(0))), lambda w: F.concat(F.lit("0"), w))
     lines = F.split("body", "\n")
     inner = F.when(F.col("is_bullet"), F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0)))).otherwise(lines)
-    words = lambda of: F.split(F.lower(of), r"[^\p{L}\p{N}'-]+")
-    items = F.transform(F.filter(inner, lambda s: s.rlike(ITEM)), words)
-    ends = F.transform(items, lambda w: F.struct(F.element_at(w, -1).alias("word"), F.lit(2).alias("place")))
-    within = F.transform(F.flatten(F.transform(items, lambda w: F.slice(w, 1, F.size(w) - 1))), lambda w: F.struct(w.alias("word"), F.lit(1).alias("place")))
-    others = F.transform(F.flatten(F.transform(F.filter(inner, lambda s: ~s.rlike(ITEM)), words)), lambda w: F.struct(w.alias("word"), F.lit(0).alias("place")))
-    listed = F.when(~F.col("structured"), F.concat(ends, within, others)).otherwise(F.array().cast("array<struct<word:string,place:int>>"))
-    seen = x.select(F.explode(F.array_distinct(F.concat(sentence, every, listed))).alias("w")).select("w.*").where("word <> ''")
-    place = F.col("place")
-    return seen.groupBy("word").agg(F.count_if(place == 4).alias("n"), F.count_if(place == 3).alias("n_end"), F.max(F.when(place <= 2, place)).alias("place"))
+    items = F.transform(F.filter(inner, lambda s: s.rlike(ITEM)), lambda s: F.split(F.lower(s), r"[^\p{L}\p{N}'-]+"))
+    ends = F.transform(items, lambda w: F.concat(F.lit("2"), F.element_at(w, -1)))
+    within = F.transform(F.flatten(F.transform(items, lambda w: F.slice(w, 1, F.size(w) - 1))), lambda w: F.concat(F.lit("1"), w))
+    listed = F.when(~F.col("structured") & F.col("body").rlike(r"(?m)^\s*(?:[-*•]|\d+[.)])\s"), F.concat(ends, within)).otherwise(F.array().cast("array<string>"))
+    seen = keep(x.select(F.explode(F.array_distinct(F.concat(every, listed))).alias("w")).groupBy("w").agg(F.count("*").alias("n")))
+    place, word = F.substring("w", 1, 1).cast("int"), F.rtrim(F.expr("substr(w, 2)"), F.lit(".!?;"))
+    each = seen.select(word.alias("word"), place.alias("p"), F.col("w").rlike("[.!?;]$").alias("ends"), "n").where("word <> ''")
+    return each.groupBy("word").agg(F.sum(F.when(F.col("p") == 0, F.col("n")).otherwise(0)).alias("n"), F.sum(F.when((F.col("p") == 0) & F.col("ends"), F.col("n")).otherwise(0)).alias("n_end"), F.max("p").alias("place"))
 
 
 def closed_losses(judged: DataFrame, words: DataFrame, often: int = 30, alpha: float = 0.001) -> DataFrame:
@@ -190,19 +191,19 @@ def truncated(df: DataFrame, key: str, source: str, text: str, least_share: floa
     A closing line without end punctuation that recurs (digits aside) in at least least_share of all different texts and
     least_lines of them is a way to end (copies of one text count once), as is a list item whose last word ends other
     items or stands in prose. Null, empty and blank texts are no cases. A null source is a source of its own. Repeated
-    rows are judged alike. An empty table gives none. keep: called with the judged texts (without their bodies) and with
-    the words' counts, to write each once.
+    rows are judged alike. An empty table gives none. keep: called with the judged texts (without their bodies), the words'
+    counts and the limits, to write each once.
     """
     base = df.where(F.col(text).rlike(r"\S")).select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(text).alias("text"))
     x = base.withColumn("body", body_of(F.col("text")))
     core = F.regexp_replace("body", ELLIPSIS, "")
     x = judge_endings(x).withColumns({"n_chars": F.length(core), "n_bytes": F.octet_length(core)})
     judged = keep(x.select("key", "source", "ending", "structured", "closed_word", "bare_string", "n_chars", "n_bytes", "last_word", _shape(F.col("last_line")).alias("shape"), F.xxhash64("body").alias("body_id")))
-    words = keep(word_places(x))
+    words = keep(word_places(x, keep))
 
-    x = closed_losses(judged, words)
-    x = x.withColumn("is_open", (F.col("ending") != "whole") | F.col("is_closed"))
-    x = at_limits(x, limits_of(x))
+    x = closed_losses(judged, words).withColumn("is_open", (F.col("ending") != "whole") | F.col("is_closed"))
+    x = keep(x.select("key", "source", "ending", "structured", "is_closed", "is_open", "n_chars", "n_bytes", "last_word", "shape"))
+    x = at_limits(x, limits_of(x, keep))
 
     # copies of a cut text can't vouch for its last line
     shapes = judged.where("NOT structured AND ending = 'lost'").select(F.col("shape").alias("_shape"), "body_id").distinct().groupBy("_shape").agg(F.count("*").alias("n_shape"))
