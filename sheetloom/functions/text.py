@@ -71,6 +71,7 @@ def slug(c: Column, fallback: str = "general") -> Column:
     return F.coalesce(F.nullif(s, F.lit("")), F.lit(fallback))
 
 
+# Fixed value: how file names tell a revision.
 REVISION = r"(?i)rev(?:ision)?[\s._-]*([A-Za-z0-9]+)"
 
 
@@ -116,15 +117,17 @@ def safe_json(c: Column) -> Column:
     return F.coalesce(F.try_parse_json(text), F.try_parse_json(repaired_json(text)))
 
 
+# Ordered rules for the type of a schedule block, each word pattern with its type; all need the word schedule.
+SCHEDULE_RULES = [
+    ("panel", "panel"), ("unit", "unit_plan"), ("lighting", "lighting_fixture"), ("electrical equipment|single line", "elec_equipment"), ("mechanical|rtu|ahu|vfd", "mech_equipment"),
+    ("plumbing|ejector|water heater|wh", "plumb_equipment"), ("wall|partition", "wall_partition"), ("door", "door"), ("ceiling", "ceiling"), ("finish", "finish"),
+]
+
+
 def schedule_type(kind: Column, name: Column, sub: Column) -> Column:
     """Type of a schedule block by the words of its type, name and subtype; the first rule that fits counts."""
     words = F.lower(F.concat_ws(" ", F.coalesce(kind, F.lit("")), F.coalesce(name, F.lit("")), F.coalesce(sub, F.lit(""))))
-    # Ordered rules, each word pattern with its type; all need the word schedule.
-    rules = [
-        ("panel", "panel"), ("unit", "unit_plan"), ("lighting", "lighting_fixture"), ("electrical equipment|single line", "elec_equipment"), ("mechanical|rtu|ahu|vfd", "mech_equipment"),
-        ("plumbing|ejector|water heater|wh", "plumb_equipment"), ("wall|partition", "wall_partition"), ("door", "door"), ("ceiling", "ceiling"), ("finish", "finish"),
-    ]
     out = F.when(~words.contains("schedule"), "")
-    for pattern, meaning in rules:
+    for pattern, meaning in SCHEDULE_RULES:
         out = out.when(words.rlike(pattern), meaning)
     return out.otherwise("")

@@ -24,123 +24,10 @@ def _members(path: str) -> Column:
     return F.try_variant_get("doc", path, VARIANTS)
 
 
-def facts_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of schedule blocks, typed, keyed and named; rows without a full key are left out."""
-    blocks = _parsed(spark, sf_dir).select("state_id", F.posexplode(_members("$.blocks")).alias("block_no", "block"))
-    kind = T.schedule_type(*[F.try_variant_get("block", f"$.{n}", "string") for n in ("type", "name", "subtype")])
-    rows = blocks.select("state_id", "block_no", kind.alias("schedule_type"), F.posexplode(F.try_variant_get("block", "$.rows", VARIANTS)).alias("row_no", "r"))
-    rows = rows.where("schedule_type = 'panel'").select("state_id", "block_no", "row_no", "schedule_type", _get(F.col("r"), "panel", "panel_name", "board").alias("panel"), _get(F.col("r"), "circuit", "ckt", "cct", "circuit_number").alias("circuit"), _get(F.col("r"), "description", "desc", "notes", "load").alias("description"))
-    rows = rows.where("panel IS NOT NULL AND circuit IS NOT NULL")
-    key = F.concat(F.lit("panel_circuit-"), T.padded_circuit(F.col("circuit")), F.lit("_panel-"), F.col("panel"))
-    return rows.withColumns({"row_key": key, "content": F.concat(F.lit("Panel "), F.col("panel"), F.lit(" — Ckt "), F.col("circuit"), F.coalesce(F.concat(F.lit(" — "), F.col("description")), F.lit("")))})
-
-
-FACTS_BLOCKS_SQL = """
-    WITH b AS (SELECT state_id, generate_subscripts(l, 1) - 1 AS block_no, unnest(l) AS block FROM (SELECT state_id, from_json(json_extract(parsed_json_data, '$.blocks'), '["JSON"]') AS l FROM processing_state WHERE json_type(json_extract(parsed_json_data, '$.blocks')) = 'ARRAY')),
-    t AS (SELECT *, lower(concat_ws(' ', coalesce(block->>'$.type', ''), coalesce(block->>'$.name', ''), coalesce(block->>'$.subtype', ''))) AS words, from_json(json_extract(block, '$.rows'), '["JSON"]') AS rows FROM b),
-    r AS (SELECT state_id, block_no, generate_subscripts(rows, 1) - 1 AS row_no, unnest(rows) AS r FROM t WHERE words LIKE '%schedule%' AND words LIKE '%panel%'),
-    f AS (SELECT state_id, block_no, row_no, 'panel' AS schedule_type,
-          coalesce(nullif(trim(r->>'$.panel'), ''), nullif(trim(r->>'$.panel_name'), ''), nullif(trim(r->>'$.board'), '')) AS panel,
-          coalesce(nullif(trim(r->>'$.circuit'), ''), nullif(trim(r->>'$.ckt'), ''), nullif(trim(r->>'$.cct'), ''), nullif(trim(r->>'$.circuit_number'), '')) AS circuit,
-          coalesce(nullif(trim(r->>'$.description'), ''), nullif(trim(r->>'$.desc'), ''), nullif(trim(r->>'$.notes'), ''), nullif(trim(r->>'$.load'), '')) AS description FROM r)
-    SELECT state_id, CAST(block_no AS INT) AS block_no, CAST(row_no AS INT) AS row_no, schedule_type, panel, circuit, description,
-           'panel_circuit-' || CASE WHEN regexp_matches(circuit, '^[0-9]+$') THEN printf('%03d', CAST(circuit AS BIGINT)) ELSE circuit END || '_panel-' || panel AS row_key,
-           'Panel ' || panel || ' — Ckt ' || circuit || coalesce(' — ' || description, '') AS content
-    FROM f WHERE panel IS NOT NULL AND circuit IS NOT NULL"""
-
-NUMERIC_LOAD = r"^(--|\d+(\.\d+)?\s*([Vv]?[Aa]|[Ww])?)?$"
-
-
-def _load_text(v: Column, path: str) -> Column:
-    """First phase load that is a text and not a measurement."""
-    phases = [F.trim(F.try_variant_get(v, f"$.{path}.{p}", "string")) for p in "ABC"]
-    return F.coalesce(*[F.when(~p.rlike(NUMERIC_LOAD), p) for p in phases])
-
-
-#: Names of the object or list of panel schedules; the first that is there counts.
-PANEL_SCHEDULES = ("PANEL_SCHEDULES", "panel_schedules", "panel schedules", "panelschedules")
-
-
-def _panel(p: Column, circuits: tuple[str, str], name: Column | None = None) -> Column:
-    """Name, voltage and circuits of a panel; the first filled list of circuits counts. A name that is given is an object's key."""
-    voltage = lambda path: F.nullif(F.try_variant_get(p, f"$.{path}", "string"), F.lit(""))
-    lists = [F.try_variant_get(p, f"$.{n}", VARIANTS) for n in circuits]
-    listed = name is None
-    return F.struct(
-        (_get(p, "panel_name", "panel_id", "name", "panel", "id") if listed else name).alias("panel"),
-        (F.coalesce(*[voltage(n) for n in ("voltage", "enclosure_info.volts", "enclosure_info.voltage")]) if listed else voltage("voltage")).alias("voltage"),
-        F.coalesce(*[F.when(F.size(v) > 0, v) for v in lists]).alias("circuits"),
-    )
-
-
-def facts_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Circuits of panel lists and of panel schedules (an object by name, or a list), each with its right side as a row of
-    its own, panel voltage inherited. panel_no counts the list, then the schedules, those of an object by name. Files that
-    have blocks are left to these."""
-    docs = _parsed(spark, sf_dir).where("coalesce(size(try_variant_get(doc, '$.blocks', 'array<variant>')), 0) <= 0")
-    listed = F.transform(_members("$.ELECTRICAL.panels"), lambda p: _panel(p, ("circuits", "circuit_details")))
-    details = ("circuit_details", "circuits")
-    named = lambda by_name: F.transform(F.array_sort(F.map_keys(by_name)), lambda k: _panel(by_name[k], details, k))
-    schedules = [x for n in PANEL_SCHEDULES for x in (F.transform(_members(f"$.ELECTRICAL['{n}']"), lambda p: _panel(p, details)), named(F.try_variant_get("doc", f"$.ELECTRICAL['{n}']", "map<string,variant>")))]
-    schedules = F.coalesce(*schedules)
-    panels = docs.select("state_id", F.posexplode(F.coalesce(F.concat(listed, schedules), listed, schedules)).alias("panel_no", "p"))
-    circuits = panels.select("state_id", "panel_no", "p.panel", "p.voltage", F.posexplode("p.circuits").alias("row_no", "c"))
-    c, right = F.col("c"), F.try_variant_get("c", "$.right_side", "variant")
-    sides = F.array(
-        F.struct(F.lit("left").alias("side"), _get(c, "circuit", "circuit_number", "ckt", "cct").alias("circuit"), F.coalesce(_get(c, "load_name", "description", "load", "device"), _load_text(c, "phase_loads")).alias("description"), _get(c, "trip", "amps", "breaker", "size").alias("amps"), _get(c, "phase", "poles", "pole", "phase_count").alias("poles")),
-        F.struct(F.lit("right").alias("side"), _get(right, "circuit_number", "circuit", "ckt", "cct").alias("circuit"), F.coalesce(_get(right, "load_name", "description", "load"), _load_text(right, "phase_loads"), _load_text(c, "phase_loads")).alias("description"), _get(right, "trip", "amps", "breaker").alias("amps"), _get(right, "poles", "pole", "phase").alias("poles")),
-    )
-    x = circuits.select("state_id", "panel_no", "row_no", "panel", "voltage", F.explode(sides).alias("s"))
-    return x.select("state_id", "panel_no", "row_no", "panel", "voltage", "s.*").where("circuit IS NOT NULL")
-
-
 def _j(v: str, *names: str) -> str:
     return "coalesce(" + ", ".join(f"nullif(trim({v}->>'$.{n}'), '')" for n in names) + ")"
 
 
-def _loads_sql(v: str, path: str) -> str:
-    return "coalesce(" + ", ".join(f"CASE WHEN NOT regexp_matches(trim({v}->>'$.{path}.{p}'), '{NUMERIC_LOAD}') THEN trim({v}->>'$.{path}.{p}') END" for p in "ABC") + ")"
-
-
-FACTS_PANELS_SQL = f"""
-    WITH p AS (SELECT state_id, generate_subscripts(l, 1) - 1 AS panel_no, unnest(l) AS p FROM (SELECT state_id, from_json(json_extract(parsed_json_data, '$.ELECTRICAL.panels'), '["JSON"]') AS l FROM processing_state
-               WHERE json_type(json_extract(parsed_json_data, '$.ELECTRICAL.panels')) = 'ARRAY' AND coalesce(json_array_length(json_extract(parsed_json_data, '$.blocks')), 0) = 0)),
-    q AS (SELECT state_id, panel_no, {_j('p', 'panel_name', 'panel_id', 'name', 'panel', 'id')} AS panel, p->>'$.voltage' AS voltage,
-          from_json(CASE WHEN json_array_length(json_extract(p, '$.circuits')) > 0 THEN json_extract(p, '$.circuits') ELSE json_extract(p, '$.circuit_details') END, '["JSON"]') AS l FROM p),
-    c AS (SELECT state_id, panel_no, panel, voltage, generate_subscripts(l, 1) - 1 AS row_no, unnest(l) AS c FROM q),
-    s AS (SELECT state_id, panel_no, row_no, panel, voltage, 'left' AS side, {_j('c', 'circuit', 'circuit_number', 'ckt', 'cct')} AS circuit, coalesce({_j('c', 'load_name', 'description', 'load', 'device')}, {_loads_sql('c', 'phase_loads')}) AS description,
-          {_j('c', 'trip', 'amps', 'breaker', 'size')} AS amps, {_j('c', 'phase', 'poles', 'pole', 'phase_count')} AS poles FROM c
-          UNION ALL SELECT state_id, panel_no, row_no, panel, voltage, 'right', {_j('c', 'right_side.circuit_number', 'right_side.circuit', 'right_side.ckt', 'right_side.cct')},
-          coalesce({_j('c', 'right_side.load_name', 'right_side.description', 'right_side.load')}, {_loads_sql('c', 'right_side.phase_loads')}, {_loads_sql('c', 'phase_loads')}),
-          {_j('c', 'right_side.trip', 'right_side.amps', 'right_side.breaker')}, {_j('c', 'right_side.poles', 'right_side.pole', 'right_side.phase')} FROM c)
-    SELECT state_id, CAST(panel_no AS INT) AS panel_no, CAST(row_no AS INT) AS row_no, panel, voltage, side, circuit, description, amps, poles FROM s WHERE circuit IS NOT NULL"""
-
-
-def facts_plumbing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixtures and water heaters with their tags, whatever key holds them."""
-    docs = _parsed(spark, sf_dir)
-    filled = lambda *ns: F.coalesce(*[F.when(F.size(_members(f"$.PLUMBING.{n}")) > 0, _members(f"$.PLUMBING.{n}")) for n in ns])
-    families = [
-        ("fixture", filled("fixtures", "PLUMBING_FIXTURE_SCHEDULE", "fixture_schedule"), ("tag", "fixture_id", "MARK", "mark", "id")),
-        ("water_heater", filled("water_heaters", "waterHeaters", "ELECTRIC_WATER_HEATER_SCHEDULE", "water_heater_schedule"), ("tag", "heater_id", "water_heater_id", "MARK", "mark", "id")),
-    ]
-    out = None
-    for family, rows, tags in families:
-        part = docs.select("state_id", F.lit(family).alias("family"), F.posexplode(rows).alias("row_no", "r")).select("state_id", "family", "row_no", _get(F.col("r"), *tags).alias("tag"))
-        out = part if out is None else out.unionByName(part)
-    return out.where("tag IS NOT NULL")
-
-
-def _family_sql(family: str, names: tuple[str, ...], tags: tuple[str, ...]) -> str:
-    lists = "CASE " + " ".join(f"WHEN json_array_length(json_extract(parsed_json_data, '$.PLUMBING.{n}')) > 0 THEN json_extract(parsed_json_data, '$.PLUMBING.{n}')" for n in names) + " END"
-    return f"SELECT state_id, '{family}' AS family, CAST(generate_subscripts(l, 1) - 1 AS INT) AS row_no, unnest(l) AS r, '{family}' AS f FROM (SELECT state_id, from_json({lists}, '[\"JSON\"]') AS l FROM processing_state)"
-
-
-FACTS_PLUMBING_SQL = f"""
-    SELECT * FROM (SELECT state_id, family, row_no, {_j('r', 'tag', 'fixture_id', 'MARK', 'mark', 'id')} AS tag FROM ({_family_sql('fixture', ('fixtures', 'PLUMBING_FIXTURE_SCHEDULE', 'fixture_schedule'), ())})
-    UNION ALL SELECT state_id, family, row_no, {_j('r', 'tag', 'heater_id', 'water_heater_id', 'MARK', 'mark', 'id')} FROM ({_family_sql('water_heater', ('water_heaters', 'waterHeaters', 'ELECTRIC_WATER_HEATER_SCHEDULE', 'water_heater_schedule'), ())})) WHERE tag IS NOT NULL"""
-
-
 def sheet_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheet data of each structured drawing, with fallbacks and the discipline inferred from a single section."""
     docs = _parsed(spark, sf_dir).where("doc IS NOT NULL")
@@ -290,24 +177,6 @@ def parse_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "processing_state").groupBy("ingest_source", status.alias("parse_status")).agg(F.count("*").alias("n_states"))
 
 
-def facts_equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mechanical equipment (a list, or lists by kind) and door schedule rows with their tags."""
-    docs = _parsed(spark, sf_dir)
-    kinds = F.transform(F.map_values(F.from_json(F.to_json(F.try_variant_get("doc", "$.MECHANICAL.equipment", "variant")), "map<string,variant>")), lambda v: F.try_variant_get(v, "$", VARIANTS))
-    listed = _members("$.MECHANICAL.equipment")
-    equipment = F.coalesce(listed, F.flatten(F.filter(kinds, lambda v: v.isNotNull())))
-    mech = docs.select("state_id", F.lit("mech_equipment").alias("schedule_type"), F.explode(equipment).alias("r")).select("state_id", "schedule_type", _get(F.col("r"), "tag", "equipment_tag", "name", "fixture_type", "type", "mark").alias("tag"))
-    doors = docs.select("state_id", F.lit("door").alias("schedule_type"), F.explode(_members("$.ARCHITECTURAL.DOOR_SCHEDULE")).alias("r")).select("state_id", "schedule_type", _get(F.col("r"), "door_number", "mark", "door", "id").alias("tag"))
-    return mech.unionByName(doors).where("tag IS NOT NULL").groupBy("state_id", "schedule_type", "tag").agg(F.count("*").alias("n_rows"))
-
-
-FACTS_EQUIPMENT_SQL = f"""
-    WITH e AS (SELECT state_id, json_extract(parsed_json_data, '$.MECHANICAL.equipment') AS v FROM processing_state WHERE json_valid(parsed_json_data)),
-    m AS (SELECT state_id, unnest(from_json(v, '["JSON"]')) AS r FROM e WHERE json_type(v) = 'ARRAY' UNION ALL SELECT state_id, unnest(from_json(j.value, '["JSON"]')) FROM e, json_each(e.v) j WHERE json_type(e.v) = 'OBJECT' AND j.type = 'ARRAY'),
-    d AS (SELECT state_id, unnest(from_json(json_extract(parsed_json_data, '$.ARCHITECTURAL.DOOR_SCHEDULE'), '["JSON"]')) AS r FROM processing_state WHERE json_type(json_extract(parsed_json_data, '$.ARCHITECTURAL.DOOR_SCHEDULE')) = 'ARRAY'),
-    t AS (SELECT state_id, 'mech_equipment' AS schedule_type, {_j('r', 'tag', 'equipment_tag', 'name', 'fixture_type', 'type', 'mark')} AS tag FROM m UNION ALL SELECT state_id, 'door', {_j('r', 'door_number', 'mark', 'door', 'id')} FROM d)
-    SELECT state_id, schedule_type, tag, count(*) AS n_rows FROM t WHERE tag IS NOT NULL GROUP BY ALL"""
-
 # Words of a title block with the weight of each.
 TITLE_WORDS = {
     "PROJECT": 0.25, "SHEET": 0.15, "DRAWING": 0.10, "DATE": 0.10, "DRAWN": 0.10, "CHECKED": 0.10, "APPROVED": 0.10, "SCALE": 0.10, "TITLE": 0.15, "JOB": 0.10, "NO": 0.05, "NUMBER": 0.05,
@@ -412,10 +281,10 @@ TABLE_SCORES_SQL = """
     FROM (SELECT extraction_id, generate_subscripts(l, 1) - 1 AS table_no, lower(CAST(unnest(l) AS VARCHAR)) AS t FROM (SELECT extraction_id, from_json(tables_json, '["JSON"]') AS l FROM extraction_result WHERE json_valid(tables_json))))"""
 
 
-QUERIES = {f.__name__: f for f in (facts_blocks, facts_panels, facts_plumbing, sheet_metadata, coverage, latest_rows, drawing_types, row_identifiers, circuit_pairs, room_records, ocr_decisions, panel_lines, parse_status, facts_equipment, titleblocks, sheet_note_chunks, panel_circuits_per_line, panel_markers, table_scores)}
+QUERIES = {f.__name__: f for f in (sheet_metadata, coverage, latest_rows, drawing_types, row_identifiers, circuit_pairs, room_records, ocr_decisions, panel_lines, parse_status, titleblocks, sheet_note_chunks, panel_circuits_per_line, panel_markers, table_scores)}
 SQL = {
-    "facts_blocks": FACTS_BLOCKS_SQL, "facts_panels": FACTS_PANELS_SQL, "facts_plumbing": FACTS_PLUMBING_SQL, "sheet_metadata": SHEET_METADATA_SQL, "coverage": COVERAGE_SQL, "latest_rows": LATEST_ROWS_SQL,
+    "sheet_metadata": SHEET_METADATA_SQL, "coverage": COVERAGE_SQL, "latest_rows": LATEST_ROWS_SQL,
     "drawing_types": DRAWING_TYPES_SQL, "row_identifiers": ROW_IDENTIFIERS_SQL, "circuit_pairs": CIRCUIT_PAIRS_SQL, "room_records": ROOM_RECORDS_SQL, "ocr_decisions": OCR_DECISIONS_SQL, "panel_lines": PANEL_LINES_SQL,
-    "facts_equipment": FACTS_EQUIPMENT_SQL, "titleblocks": TITLEBLOCKS_SQL, "sheet_note_chunks": SHEET_NOTE_CHUNKS_SQL,
+    "titleblocks": TITLEBLOCKS_SQL, "sheet_note_chunks": SHEET_NOTE_CHUNKS_SQL,
     "panel_circuits_per_line": PANEL_CIRCUITS_SQL, "panel_markers": PANEL_MARKERS_SQL, "table_scores": TABLE_SCORES_SQL,
 }

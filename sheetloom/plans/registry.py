@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sheetloom.plans import documents, metrics, search, training
+from sheetloom.plans import documents, facts, metrics, search, training
 
-MODULES = [training, documents, search, metrics]
+MODULES = [training, facts, documents, search, metrics]
 
 
 def queries() -> dict:
