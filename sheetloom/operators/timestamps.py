@@ -93,31 +93,47 @@ def abbreviation_offsets(zones: list[str]) -> dict[str, int]:
     return out
 
 
-def estimate_zones(rows: DataFrame, source: str, zones: list[str]) -> DataFrame:
-    """For each source: evidence (rows), declared_wrong (violations of the declared zone) and, for sources without
-    one, best_zone: the candidate with fewest violations, ties by name.
+def estimate_zones(rows: DataFrame, source: str, zones: list[str], near_us: int = 3_600_000_000) -> DataFrame:
+    """For each source: evidence (rows), declared_wrong (violations of the declared zone) and, for sources without one,
+    best_zone, the candidate whose offset history violates the evidence least, and zone_unique.
 
     rows has local_us, offset_s (offset told in the value, or null), seen_us (when the row was taken in) and _tz (the
     declared zone). A told offset is violated by a zone with another offset at that time, a bare value where it would
-    lie after seen_us. One pass with map-side partial sums: a hot source costs one small row per task.
+    lie after seen_us. Of candidates with equally few violations the one counts that explains most: told offsets that it
+    has, and values taken in less than near_us after it (a zone further east makes every value look older, so the zone
+    that is no further east than needed has the most of these). Candidates that differ in instants but not in these
+    counts, or of which none explains anything, leave the zone open: zone_unique is false. One pass with map-side
+    partial sums: a hot source costs one small row per task.
     """
 
-    def wrong(zone: Column) -> Column:
+    def judged(zone: Column) -> tuple[Column, Column, Column]:
         at = zoned_micros(F.col("local_us"), zone)
-        return F.when(F.col("offset_s").isNotNull(), at != F.col("local_us") - F.col("offset_s").cast("bigint") * 1_000_000).otherwise(at > F.col("seen_us"))
+        told, lag = at == F.col("local_us") - F.col("offset_s").cast("bigint") * 1_000_000, F.col("seen_us") - at
+        known = F.col("offset_s").isNotNull()
+        return F.when(known, ~told).otherwise(lag < 0), F.when(known, told).otherwise((lag >= 0) & (lag < near_us)), F.floor(at / 900_000_000)
 
     open_ = F.col("_tz").isNull()
-    tests = [F.sum(F.when(open_, wrong(F.lit(z)).cast("bigint"))).alias(f"v{i}") for i, z in enumerate(zones)]
-    declared = F.sum(F.when(~open_, wrong(F.col("_tz")).cast("bigint"))).alias("declared_wrong")
+    tests = []
+    for i, zone in enumerate(zones):
+        for name, value in zip("vgc", judged(F.lit(zone))):
+            tests.append(F.sum(F.when(open_, value.cast("bigint"))).alias(f"{name}{i}"))
+    declared = F.sum(F.when(~open_, judged(F.col("_tz"))[0].cast("bigint"))).alias("declared_wrong")
     x = rows.where("local_us IS NOT NULL").groupBy(source).agg(F.count("*").alias("evidence"), declared, *tests)
-    ranked = F.array_min(F.array(*[F.struct(F.coalesce(F.col(f"v{i}"), F.lit(0)).alias("n"), F.lit(z).alias("zone")) for i, z in enumerate(zones)]))
-    return x.select(source, "evidence", F.coalesce("declared_wrong", F.lit(0)).alias("declared_wrong"), ranked["zone"].alias("best_zone"))
+    none = F.lit(0).cast("bigint")
+    ranked = F.array_sort(F.array(*[F.struct(F.coalesce(F.col(f"v{i}"), none).alias("wrong"), (-F.coalesce(F.col(f"g{i}"), none)).alias("right"), F.lit(z).alias("zone"), F.coalesce(F.col(f"c{i}"), none).alias("instants")) for i, z in enumerate(zones)]))
+    x = x.select(source, "evidence", F.coalesce("declared_wrong", F.lit(0)).alias("declared_wrong"), F.inline(F.array(F.struct(ranked.alias("_ranked")))))
+    best = F.element_at("_ranked", 1)
+    rivals = F.exists("_ranked", lambda z: (z["wrong"] == best["wrong"]) & (z["right"] == best["right"]) & (z["instants"] != best["instants"]))
+    return x.select(source, "evidence", "declared_wrong", best["zone"].alias("best_zone"), ((best["right"] < 0) & ~rivals).alias("zone_unique"))
 
 
-def normalise_timestamps(df: DataFrame, sites: DataFrame, value: str = "value", source: str = "source", seen: str = "seen_at", keep=lambda x: x) -> DataFrame:
-    """Adds utc_us BIGINT, zone_used STRING, zone_source ('told', 'declared', 'estimated' or null) and, for a
+def normalise_timestamps(df: DataFrame, sites: DataFrame, value: str = "value", source: str = "source", seen: str = "seen_at", keep=lambda x: x, candidates: list[str] | None = None) -> DataFrame:
+    """Adds utc_us BIGINT, zone_used STRING, zone_source ('told', 'declared', 'estimated', 'open' or null) and, for a
     declared zone, contradicted BOOLEAN (it violates more than half of its source's evidence) to df.
 
+    candidates: the zones that a source without a declared one may have; by default those of the sites. 'open' is a value
+    whose source's zone the evidence doesn't single out; its utc_us is null.
+
     sites: columns <source>, site_tz, date_order, one row per source (of repeated ones the smallest is taken).
     df may have any further columns except those names and names that begin with an underscore.
     Nulls, blanks, placeholders and impossible days give utc_us null; a null source has no declared zone and no
@@ -126,7 +142,7 @@ def normalise_timestamps(df: DataFrame, sites: DataFrame, value: str = "value",
     """
     sites = sites.where(F.col(source).isNotNull()).groupBy(F.col(source).alias("_src")).agg(F.min("site_tz").alias("_tz"), F.min("date_order").alias("_order"))
     known = available_timezones()
-    zones = sorted(r[0] for r in sites.select("_tz").distinct().collect() if r[0] in known)
+    zones = sorted({r[0] for r in sites.select("_tz").distinct().collect() if r[0] in known} | {z for z in candidates or () if z in known})
     offsets = abbreviation_offsets(zones)
     abbr = F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv]) if offsets else F.lit(None).cast("map<string,int>")
 
@@ -153,18 +169,18 @@ def normalise_timestamps(df: DataFrame, sites: DataFrame, value: str = "value",
     if zones:
         # a value in UTC tells nothing about its source's zone
         evidence = x.where(F.col(source).isNotNull() & (F.col("_zone").isNull() | ~F.col("_universal") & F.col("offset_s").isNotNull()))
-        est = estimate_zones(evidence.select(F.col(source).alias("_esrc"), "local_us", "offset_s", "seen_us", "_tz"), "_esrc", zones)
+        est = estimate_zones(evidence.select(F.col(source).alias("_esrc"), "local_us", "offset_s", "seen_us", "_tz"), "_esrc", sorted(set(candidates) & set(zones)) if candidates else zones)
         x = x.join(est, x[source] == est["_esrc"], "left")
     else:
-        x = x.select("*", F.lit(None).cast("string").alias("best_zone"), F.lit(0).alias("evidence"), F.lit(0).alias("declared_wrong"))
-    bare, chosen = F.col("_zone").isNull() & F.col("_epoch").isNull(), F.coalesce("_tz", "best_zone")
+        x = x.select("*", F.lit(None).cast("string").alias("best_zone"), F.lit(False).alias("zone_unique"), F.lit(0).alias("evidence"), F.lit(0).alias("declared_wrong"))
+    bare, chosen = F.col("_zone").isNull() & F.col("_epoch").isNull(), F.coalesce("_tz", F.when(F.col("zone_unique"), F.col("best_zone")))
     at = (
         F.when(F.col("_epoch").isNotNull(), F.col("_epoch"))
         .when(F.col("offset_s").isNotNull(), F.col("local_us") - F.col("offset_s").cast("bigint") * 1_000_000)
         .when(F.col("_region").isNotNull() | bare, zoned_micros(F.col("local_us"), F.coalesce("_region", chosen)))
     )
     used = F.when(F.col("_epoch").isNotNull(), F.lit("UTC")).when(bare, chosen).otherwise(F.col("_zone"))
-    how = F.when(~bare, "told").when(F.col("_tz").isNotNull(), "declared").otherwise("estimated")
+    how = F.when(~bare, "told").when(F.col("_tz").isNotNull(), "declared").when(chosen.isNotNull(), "estimated").when(F.col("local_us").isNotNull() & F.col("best_zone").isNotNull(), "open")
     x = x.select(*own, F.inline(F.array(F.struct(at.alias("utc_us"), used.alias("_used"), how.alias("_how"), (F.col("declared_wrong") * 2 > F.col("evidence")).alias("_against")))))
     there = F.col("utc_us").isNotNull()
-    return x.select(*own, "utc_us", F.when(there, F.col("_used")).alias("zone_used"), F.when(there, F.col("_how")).alias("zone_source"), F.when(there & (F.col("_how") == "declared"), F.coalesce("_against", F.lit(False))).alias("contradicted"))
+    return x.select(*own, "utc_us", F.when(there, F.col("_used")).alias("zone_used"), F.when(there | (F.col("_how") == "open"), F.col("_how")).alias("zone_source"), F.when(there & (F.col("_how") == "declared"), F.coalesce("_against", F.lit(False))).alias("contradicted"))

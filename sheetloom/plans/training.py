@@ -9,15 +9,19 @@ from sheetloom.operators import drift, nested, timestamps, units
 from sheetloom.tables import materialise, table
 
 
-def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "schedule_row").select(F.lit("schedule_row").alias("rec_src"), F.col("row_id").alias("rec_id"), "project_id", F.col("revision_date").alias("value"), F.col("ingested_at").alias("seen_at"))
     drawings = table(spark, sf_dir, "drawing_metadata").select(F.lit("drawing_metadata").alias("rec_src"), F.col("meta_id").alias("rec_id"), "project_id", F.col("drawing_date").alias("value"), F.col("captured_at").alias("seen_at"))
-    return timestamps.normalise_timestamps(rows.unionByName(drawings), table(spark, sf_dir, "project_site"), source="project_id", keep=materialise)
+    return rows.unionByName(drawings)
+
+
+def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timestamps.normalise_timestamps(_values(spark, sf_dir), table(spark, sf_dir, "project_site"), source="project_id", keep=materialise)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UTC instant of each usable value. Estimated zones serve sites that nobody declared; those are no cases here."""
-    return _dated(spark, sf_dir).where(F.col("utc_us").isNotNull() & (F.col("zone_source") != "estimated")).select("rec_src", "rec_id", "utc_us")
+    return _dated(spark, sf_dir).where(F.col("utc_us").isNotNull() & F.col("zone_source").isin("told", "declared")).select("rec_src", "rec_id", "utc_us")
 
 
 def p1_zone_use(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +29,16 @@ def p1_zone_use(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(spark, sf_dir).groupBy("project_id", "zone_source").agg(F.count("*").alias("n_values"), F.countDistinct("zone_used").alias("n_zones"))
 
 
+def p1_zone_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The estimate put to the test: the zone of each declared site as its values alone tell it, the declaration being hidden."""
+    sites = table(spark, sf_dir, "project_site").where("site_tz IS NOT NULL")
+    zones = sorted(r[0] for r in sites.select("site_tz").distinct().collect())  # bounded by the time-zone database
+    hidden = sites.withColumn("site_tz", F.lit(None).cast("string"))
+    dated = timestamps.normalise_timestamps(_values(spark, sf_dir), hidden, source="project_id", keep=materialise, candidates=zones)
+    use = dated.where("zone_source IN ('estimated', 'open')").groupBy("project_id").agg(F.max("zone_used").alias("estimated_tz"), F.count("*").alias("n_values"))
+    return sites.select("project_id", "site_tz").join(use, "project_id").select("project_id", "site_tz", "estimated_tz", "n_values")
+
+
 def _rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
     rooms = table(spark, sf_dir, "a_rooms_template").select("room_key", F.col("metrics.ceiling_height").alias("ceiling_height"), F.col("metrics.square_footage").alias("square_footage"), F.col("metrics.dimensions").alias("dimensions"), F.col("notes.field").alias("note"))
     side = r"^(\d+)'(?:-(\d+)\")? x (\d+)'(?:-(\d+)\")?$"
@@ -94,7 +108,7 @@ def p7_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.unified(records, drift.schema_changes(records, keep=materialise), ["record_no", "feed_id", "file_id", "record_key"])
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_zone_use, p5_found, p5_basis, p6_found, p6_tables, p7_found, p7_unified)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_zone_use, p1_zone_estimates, p5_found, p5_basis, p6_found, p6_tables, p7_found, p7_unified)}
 
 P6_SQL = """
     WITH RECURSIVE n(rec_src, rec_id, v, kind, ptr, around, is_item) AS (

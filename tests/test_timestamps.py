@@ -112,3 +112,22 @@ def test_empty_tables(spark):
 def test_abbreviations():
     got = abbreviation_offsets(["America/Chicago", "Europe/London"])
     assert got["America/Chicago|CST"] == -6 * 3600 and got["America/Chicago|CDT"] == -5 * 3600 and got["Europe/London|BST"] == 3600
+
+
+def estimates(spark, rows, zones):
+    df = spark.createDataFrame(rows, "source string, value string, seen_at timestamp")
+    sites = spark.createDataFrame([(z, z, "MDY") for z in zones], "source string, site_tz string, date_order string")
+    return {(r["source"], r["zone_source"], r["zone_used"]) for r in normalise_timestamps(df, sites).select("source", "zone_source", "zone_used").distinct().collect()}
+
+
+def test_estimate_is_not_drawn_east(spark):
+    """Bare winter values of London taken in after five minutes: zones further east only make them look older."""
+    rows = [("x", (at := datetime(2022, 1, 1, 8) + timedelta(hours=7 * k)).isoformat(), at + timedelta(minutes=5)) for k in range(28)]
+    assert estimates(spark, rows, ["America/Chicago", "Europe/London", "Asia/Tokyo"]) == {("x", "estimated", "Europe/London")}
+
+
+def test_zone_that_evidence_does_not_single_out_stays_open(spark):
+    """Arrival after days fits every zone; zones with the same instants are one."""
+    slow = [("x", (at := datetime(2022, 1, 1, 8) + timedelta(hours=7 * k)).isoformat(), at + timedelta(days=4)) for k in range(28)]
+    quick = [("y", (at := datetime(2022, 1, 1, 8) + timedelta(hours=7 * k)).isoformat(), at - timedelta(minutes=50)) for k in range(28)]
+    assert estimates(spark, slow + quick + [("z", "2022-01-01 08:00", None)], ["America/Chicago", "Europe/Berlin", "Europe/Paris", "Asia/Tokyo"]) == {("x", "open", None), ("y", "estimated", "Europe/Berlin"), ("z", "open", None)}
