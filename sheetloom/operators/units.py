@@ -117,7 +117,8 @@ def resolve_units(df: DataFrame, quantities: list[Quantity], identities: list[Id
 
     given: columns of df that identities may use as they are. The usual magnitude of each quantity and the
     level and spread of each identity are medians over all rows whose values have a single reading; one
-    aggregate row comes to the driver. A null, blank, zero or wordy value has no reading and yields nulls, an
+    aggregate row comes to the driver. An identity counts only where the rows bear it out: its residuals must spread less
+    than half as much as those of unrelated columns with the same spreads would. A null, blank, zero or wordy value has no reading and yields nulls, an
     empty table yields no rows, repeated rows are each resolved alike.
     """
     x = df.withColumns({f"_c_{q.name}": candidates(q) for q in quantities})
@@ -133,18 +134,26 @@ def resolve_units(df: DataFrame, quantities: list[Quantity], identities: list[Id
     for i, one in enumerate(identities):
         total = sum((F.ln(sole(n)) * F.lit(float(e)) for n, e in one.powers.items()), F.lit(0.0))
         aggs.append(F.percentile_approx(total, [0.16, 0.5, 0.84], 1000).alias(f"i{i}"))
+    for n in given:
+        aggs.append(F.percentile_approx(F.ln(sole(n)), [0.16, 0.5, 0.84], 1000).alias(f"g_{n}"))
     levels = x.agg(*aggs).first().asDict()
 
     def spread(name: str) -> tuple[float, float]:
         low, mid, high = levels[name] or (0.0, 0.0, 2.0)
         return mid, max((high - low) / 2, 0.05)
 
+    def borne_out(i: int, one: Identity) -> bool:
+        apart = math.sqrt(sum((e * spread(f"g_{n}" if n in given else n)[1]) ** 2 for n, e in one.powers.items()))
+        return levels[f"i{i}"] is not None and spread(f"i{i}")[1] < apart / 2
+
+    trusted = [(i, one) for i, one in enumerate(identities) if borne_out(i, one)]
+
     def cost(combo: Column) -> Column:
         total = F.lit(0.0)
         for q in quantities:
             mid, wide = spread(q.name)
             total += F.coalesce(F.abs(F.ln(combo[q.name]["val"]) - mid) / wide, F.lit(0.0))
-        for i, one in enumerate(identities):
+        for i, one in trusted:
             mid, wide = spread(f"i{i}")
             parts = [F.ln(F.when(F.col(n) > 0, F.col(n)) if n in given else combo[n]["val"]) * F.lit(float(e)) for n, e in one.powers.items()]
             total += F.coalesce(F.abs(sum(parts[1:], parts[0]) - mid) / wide, F.lit(0.0))

@@ -48,7 +48,9 @@ def _rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return units.resolve_units(table(spark, sf_dir, "schedule_row").select("row_id", "kva", "amps", "content"), [units.LOAD, units.CURRENT])
+    rows = table(spark, sf_dir, "schedule_row").select("row_id", "kva", "amps", "content", F.when(F.trim("poles") == "3", 3.0**0.5).when(F.trim("poles").isin("1", "2"), 1.0).alias("phases"))
+    # load = voltage x current x phases: the identity's level is the log of the usual voltage, its spread tells how far it is trusted
+    return units.resolve_units(rows, [units.LOAD, units.CURRENT], [units.Identity({"kva": 1, "amps": -1, "phases": -1})], ["phases"])
 
 
 def _long(df: DataFrame, key: str, names: dict[str, str]) -> DataFrame:

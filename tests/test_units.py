@@ -67,3 +67,28 @@ def test_identity_settles_an_open_unit(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "kva string, amps string, content string")
     assert units.resolve_units(df, [units.LOAD, units.CURRENT]).count() == 0
+
+
+def test_identity_of_load_and_current_settles_units(spark):
+    """Loads at 120 or 208 V: the current tells whether a comma groups thousands, and in which unit a bare load is."""
+    from sheetloom.operators.units import CURRENT, KVA, Identity, Quantity, resolve_units
+
+    rows = [(i, f"{0.12 * a * (1 + i % 5 / 100):.3f} kVA", f"{a} A", 1.0) for i, a in enumerate([5, 10, 20, 40, 80, 160] * 20)]
+    asked = [(900, "1,200", "10 A", 1.0), (901, "1,200", "10000 A", 1.0), (902, "2,400 kVA", "20 A", 1.0), (903, None, "20 A", 1.0), (904, "1,200", None, None)]
+    df = spark.createDataFrame(rows + asked, "row_id int, kva string, amps string, phases double")
+    open_load = Quantity("kva", "kva", None, KVA)
+    got = {r["row_id"]: (r["kva_val"], r["kva_unit"]) for r in resolve_units(df, [open_load, CURRENT.__class__("amps", "amps", None, CURRENT.units, "", "a")], [Identity({"kva": 1, "amps": -1, "phases": -1})], ["phases"]).where("row_id >= 900").collect()}
+    assert got[900] in {(1200.0, "kva"), (1200.0, "va")} and got[901][0] == 1.2e6 and got[902] == (2400.0, "kva") and got[903] == (None, None)
+
+
+def test_identity_that_rows_do_not_bear_out_is_left_out(spark):
+    """Loads and currents that have nothing to do with each other: readings rest on usual magnitudes."""
+    import random
+
+    from sheetloom.operators.units import CURRENT, LOAD, Identity, resolve_units
+
+    rng = random.Random(4)
+    rows = [(i, f"{rng.uniform(1, 40):.2f} kVA", f"{rng.choice([15, 20, 30, 400, 800])} A", "x", 1.0) for i in range(300)] + [(900, "9,310", "20 A", "loads in VA", 1.0)]
+    df = spark.createDataFrame(rows, "row_id int, kva string, amps string, content string, phases double")
+    plain = resolve_units(df, [LOAD, CURRENT]).where("row_id = 900").select("kva_val").first()[0]
+    assert resolve_units(df, [LOAD, CURRENT], [Identity({"kva": 1, "amps": -1, "phases": -1})], ["phases"]).where("row_id = 900").select("kva_val").first()[0] == plain == 9310.0
