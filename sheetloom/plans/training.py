@@ -75,28 +75,41 @@ def p5_basis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quantities(spark, sf_dir).groupBy("rec_src", "basis", "unit").agg(F.count("*").alias("n_values"), F.count_if(~F.col("is_unique")).alias("n_not_unique"))
 
 
-def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states = nested.record_nodes(table(spark, sf_dir, "processing_state"), "state_id", "parsed_json_data").withColumn("rec_src", F.lit("processing_state"))
-    tables = nested.record_nodes(table(spark, sf_dir, "extraction_result"), "extraction_id", "tables_json").withColumn("rec_src", F.lit("extraction_result"))
-    return states.unionByName(tables)
+def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat tables of both sources' records, in one long form."""
+    out = None
+    for src, key, text in (("processing_state", "state_id", "parsed_json_data"), ("extraction_result", "extraction_id", "tables_json")):
+        records = table(spark, sf_dir, src)
+        rows = nested.flat_rows(records, key, text, nested.schema_graph(records, text)).withColumn("rec_src", F.lit(src))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each object that is an array's element, with the nearest such object around it."""
-    return _nodes(spark, sf_dir).where("is_item").select("rec_src", "rec_id", "obj_path", "parent_path")
+    """Each object that is an array's element, a row of its table, with the nearest such object around it."""
+    return _flat(spark, sf_dir).where("is_item").select("rec_src", "rec_id", "obj_path", F.col("item_path").alias("parent_path"))
+
+
+def p6_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the flat tables with their parents and how many cells they hold; p6_cells has these."""
+    return _flat(spark, sf_dir).select("rec_src", "rec_id", "table_name", "obj_path", "parent_table", "parent_path", "ordinal", F.size("cells").alias("n_cells"))
+
+
+def p6_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cells of the flat tables: row, column and text."""
+    return _flat(spark, sf_dir).select("rec_src", "rec_id", "table_name", "obj_path", F.explode("cells").alias("name", "cell"))
+
+
+def p6_circuits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of the flat tables: circuits of panels, each with its panel's row."""
+    return nested.flat_table(_flat(spark, sf_dir).where("rec_src = 'processing_state'"), "circuits", ["circuit_number", "load_name", "trip", "poles"])
 
 
 def p6_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat tables of both sources: rows, those with a parent, and columns of each."""
-    nodes = materialise(_nodes(spark, sf_dir))
-    out = None
-    for src in ("processing_state", "extraction_result"):
-        own = nodes.where(F.col("rec_src") == src)
-        rows = nested.shred(own, nested.schema_graph(own))
-        columns = rows.select("table_name", F.explode(F.map_keys("cells")).alias("c")).groupBy("table_name").agg(F.countDistinct("c").alias("n_columns"))
-        part = rows.groupBy("table_name").agg(F.count("*").alias("n_rows"), F.count("parent_path").alias("n_with_parent")).join(columns, "table_name", "left").fillna(0, ["n_columns"]).withColumn("rec_src", F.lit(src))
-        out = part if out is None else out.unionByName(part)
-    return out.select("rec_src", "table_name", "n_rows", "n_with_parent", "n_columns")
+    rows = materialise(_flat(spark, sf_dir).select("rec_src", "table_name", "parent_path", F.map_keys("cells").alias("names")))
+    columns = rows.select("rec_src", "table_name", F.explode("names").alias("c")).groupBy("rec_src", "table_name").agg(F.countDistinct("c").alias("n_columns"))
+    return rows.groupBy("rec_src", "table_name").agg(F.count("*").alias("n_rows"), F.count("parent_path").alias("n_with_parent")).join(columns, ["rec_src", "table_name"], "left").fillna(0, ["n_columns"])
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +123,7 @@ def p7_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.unified(records, drift.schema_changes(records, keep=materialise), ["record_no", "feed_id", "file_id", "record_key"])
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_zone_use, p1_zone_estimates, p5_found, p5_basis, p6_found, p6_tables, p7_found, p7_unified)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_zone_use, p1_zone_estimates, p5_found, p5_basis, p6_found, p6_rows, p6_cells, p6_circuits, p6_tables, p7_found, p7_unified)}
 
 P6_SQL = """
     WITH RECURSIVE n(rec_src, rec_id, v, kind, ptr, around, is_item) AS (
@@ -120,6 +133,36 @@ P6_SQL = """
         FROM n, json_each(n.v) e WHERE n.kind IN ('OBJECT', 'ARRAY'))
     SELECT rec_src, rec_id, ptr AS obj_path, around AS parent_path FROM n WHERE is_item"""
 
+_P6_ROWS = """
+    n(rec_src, rec_id, v, kind, ptr, tag, is_item, ord, up) AS (
+        SELECT 'processing_state', state_id, CAST(parsed_json_data AS JSON), json_type(parsed_json_data), '', 'record', false, 0, CAST([] AS STRUCT(p VARCHAR, t VARCHAR)[]) FROM processing_state WHERE json_valid(parsed_json_data)
+        UNION ALL SELECT 'extraction_result', extraction_id, CAST(tables_json AS JSON), json_type(tables_json), '', 'record', false, 0, CAST([] AS STRUCT(p VARCHAR, t VARCHAR)[]) FROM extraction_result WHERE json_valid(tables_json)
+        UNION ALL SELECT n.rec_src, n.rec_id, e.value, e.type, n.ptr || '/' || replace(replace(CAST(e.key AS VARCHAR), '~', '~0'), '/', '~1'), CASE WHEN n.kind = 'OBJECT' THEN CAST(e.key AS VARCHAR) ELSE n.tag END,
+            n.kind = 'ARRAY', CASE WHEN n.kind = 'ARRAY' THEN TRY_CAST(e.key AS INT) ELSE 0 END, CASE WHEN n.kind = 'OBJECT' THEN list_append(n.up, {'p': n.ptr, 't': n.tag}) ELSE n.up END
+        FROM n, json_each(n.v) e WHERE n.kind IN ('OBJECT', 'ARRAY')),
+    o AS (SELECT * FROM n WHERE kind = 'OBJECT'),
+    g AS (SELECT rec_src, tag FROM o GROUP BY rec_src, tag HAVING bool_or(is_item) OR bool_or(list_contains(list_transform(up, lambda u: u.t), tag)) OR count(DISTINCT up[-1].t) > 1 OR tag = 'record'),
+    l AS (SELECT rec_src, list(tag) AS names FROM g GROUP BY rec_src),
+    w AS (SELECT o.*, list_contains(l.names, o.tag) AS is_row, list_filter(o.up, lambda u: list_contains(l.names, u.t))[-1] AS above FROM o JOIN l USING (rec_src)),
+    c AS (SELECT w.rec_src, w.rec_id, CASE WHEN is_row THEN ptr ELSE above.p END AS owner, replace(CASE WHEN is_row THEN '' ELSE substr(ptr, length(above.p) + 2) || '.' END, '/', '.') || replace(replace(CAST(e.key AS VARCHAR), '~', '~0'), '/', '~1') AS name,
+          CASE WHEN e.type = 'NULL' THEN NULL WHEN e.type = 'VARCHAR' THEN e.value->>'$' ELSE CAST(e.value AS VARCHAR) END AS cell
+          FROM w, json_each(w.v) e WHERE e.type NOT IN ('OBJECT', 'ARRAY') OR e.type = 'ARRAY' AND (json_array_length(e.value) = 0 OR NOT list_bool_and(list_transform(from_json(e.value, '["JSON"]'), lambda x: json_type(x) = 'OBJECT'))))"""
+P6_ROWS_SQL = f"""
+    WITH RECURSIVE {_P6_ROWS},
+    k AS (SELECT rec_src, rec_id, owner, CAST(count(*) AS INT) AS n_cells FROM c GROUP BY ALL)
+    SELECT w.rec_src, w.rec_id, tag AS table_name, ptr AS obj_path, above.t AS parent_table, above.p AS parent_path, CAST(ord AS INT) AS ordinal, coalesce(n_cells, 0) AS n_cells FROM w LEFT JOIN k ON w.rec_src = k.rec_src AND w.rec_id = k.rec_id AND w.ptr = k.owner WHERE is_row"""
+P6_TABLES_SQL = f"""
+    WITH RECURSIVE {_P6_ROWS},
+    k AS (SELECT w.rec_src, w.tag, count(DISTINCT name) AS n_columns FROM c JOIN w ON w.rec_src = c.rec_src AND w.rec_id = c.rec_id AND w.ptr = c.owner GROUP BY ALL)
+    SELECT r.rec_src, r.tag AS table_name, n_rows, n_with_parent, coalesce(n_columns, 0) AS n_columns FROM (SELECT rec_src, tag, count(*) AS n_rows, count(above.p) AS n_with_parent FROM w WHERE is_row GROUP BY ALL) r LEFT JOIN k USING (rec_src, tag)"""
+P6_CELLS_SQL = f"""
+    WITH RECURSIVE {_P6_ROWS}
+    SELECT c.rec_src, c.rec_id, w.tag AS table_name, owner AS obj_path, name, cell FROM c JOIN w ON w.rec_src = c.rec_src AND w.rec_id = c.rec_id AND w.ptr = c.owner"""
+P6_CIRCUITS_SQL = f"""
+    WITH RECURSIVE {_P6_ROWS}
+    SELECT w.rec_id, ptr AS obj_path, above.t AS parent_table, above.p AS parent_path, CAST(ord AS INT) AS ordinal, v->>'$.circuit_number' AS c_circuit_number, v->>'$.load_name' AS c_load_name, v->>'$.trip' AS c_trip, v->>'$.poles' AS c_poles
+    FROM w WHERE is_row AND rec_src = 'processing_state' AND tag = 'circuits'"""
+
 P7_SQL = """
     WITH f AS (SELECT feed_id, file_id, file_no, record_key, e.key AS field, CASE e.type WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'VARCHAR' THEN 'string' WHEN 'NULL' THEN NULL ELSE 'number' END AS kind, e.value->>'$' AS raw
                FROM drift_record d, json_each(d.payload) e),
@@ -214,4 +257,4 @@ def _p1_sql() -> str:
     UNION ALL SELECT rec_src, rec_id, CAST(a[1] AS BIGINT) * CASE WHEN length(a[1]) = 10 THEN 1000000 ELSE 1000 END FROM p WHERE a[10] = 'e'"""
 
 
-SQL: dict[str, str] = {"p1_found": _p1_sql(), "p5_found": _p5_sql(), "p6_found": P6_SQL, "p7_found": P7_SQL}
+SQL: dict[str, str] = {"p1_found": _p1_sql(), "p5_found": _p5_sql(), "p6_found": P6_SQL, "p6_rows": P6_ROWS_SQL, "p6_tables": P6_TABLES_SQL, "p6_cells": P6_CELLS_SQL, "p6_circuits": P6_CIRCUITS_SQL, "p7_found": P7_SQL}
