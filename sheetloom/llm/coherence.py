@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheetloom.llm import words
+
 LINK = re.compile(r"<a\s[^>]*>|</a>|\]\([^)\s]*\)|(?:https?://|www\.)\S+")
 #: Without any of these a text holds no link.
 LINK_SIGNS = ("<a", "</a>", "](", "://", "www.")
@@ -32,26 +34,6 @@ USUAL, STEPS = 0.97, 8
 RARE_DENSITY, RARE_WEIGHT = 0.04, 15
 #: Statistics (of words and pairs, 12 bytes each) that every task may hold; the rarer ones beyond are joined.
 HELD = 4_000_000
-#: Code points that a task takes apart at once (a longer text is taken by itself).
-BLOCK = 1_000_000
-
-_ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_TABLES: list[np.ndarray] = []
-
-
-def _tables(largest: int) -> list[np.ndarray]:
-    """Class (0 between words, 1 in words, 2 digit) and lower-case form of all code points up to the largest seen."""
-    if not _TABLES or len(_TABLES[0]) <= largest:
-        n = max(0x3000, largest + 1)
-        chars = [chr(i) for i in range(n)]
-        lower = [c.lower() for c in chars]
-        _TABLES[:] = [np.array([2 if c.isdecimal() else int(c.isalnum()) for c in chars], np.uint8), np.array([ord(c) if len(c) == 1 else i for i, c in enumerate(lower)], np.uint32)]
-    return _TABLES
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(29))) * _MIX
-    return x ^ (x >> np.uint64(32))
 
 
 class Block:
@@ -60,35 +42,18 @@ class Block:
     text begins, and one past the last), sizes."""
 
     def __init__(self, texts: list[str]) -> None:
-        self.sizes = np.array([len(t) for t in texts], np.int64)
-        self.at = np.concatenate([[0], np.cumsum(self.sizes + 1)])
         self.links: list[tuple[int, int]] = []
-        plain = []
-        for offset, text in zip(self.at.tolist(), texts):
+        plain, offset = [], 0
+        for text in texts:
             if any(sign in text for sign in LINK_SIGNS):
-                spans = [m.span() for m in LINK.finditer(text)]
-                self.links += [(offset + a, offset + b) for a, b in spans]
-                text = LINK.sub(lambda m: " " * len(m.group()), text)
-            plain.append(text)
-        points = np.frombuffer("\0".join([*plain, ""]).encode("utf-32-le"), np.uint32)
-        kinds, lower = _tables(int(points.max(initial=0)))
-        kind = kinds[points]
-        inside = kind > 0
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]])))
-        starts, lengths = edges[::2], edges[1::2] - edges[::2]
-        if not len(starts):
-            self.ids, self.starts, self.of = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-            self.first = np.zeros(len(texts) + 1, np.int64)
-            return
-        at = np.flatnonzero(inside)
-        begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        with np.errstate(over="ignore"):
-            powers = np.cumprod(np.full(int(lengths.max()), _ODD, np.uint64))
-            letters = (lower[points[at]].astype(np.uint64) + np.uint64(1)) * powers[at - np.repeat(starts, lengths)]
-            ids = (_mixed(np.add.reduceat(letters, begin)) >> np.uint64(1)).astype(np.int64)
-        plainly = np.maximum.reduceat(kind[at], begin) < 2
-        self.ids, self.starts = ids[plainly], starts[plainly]
-        self.of = np.searchsorted(self.at, self.starts, side="right") - 1
+                self.links += [(offset + m.start(), offset + m.end()) for m in LINK.finditer(text)]
+                plain.append(LINK.sub(lambda m: " " * len(m.group()), text))
+            else:
+                plain.append(text)
+            offset += len(text) + 1
+        found = words.Words(plain)
+        self.sizes, self.at, kept = found.sizes, found.at, ~found.digits
+        self.ids, self.starts, self.of = found.ids[kept], found.starts[kept], found.of[kept]
         self.first = np.searchsorted(self.starts, self.at)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
@@ -96,25 +61,17 @@ class Block:
         where = np.flatnonzero(self.of[1:] == self.of[:-1])
         with np.errstate(over="ignore"):
             a, b = self.ids[where].astype(np.uint64), self.ids[where + 1].astype(np.uint64)
-            return (_mixed(a * _ODD ^ (b * _MIX + np.uint64(0x165667B19E3779F9))) >> np.uint64(1)).astype(np.int64), where
+            return (words.mixed(a * words.ODD ^ (b * words.MIX + np.uint64(0x165667B19E3779F9))) >> np.uint64(1)).astype(np.int64), where
 
 
 def blocks(texts: list[str]) -> Iterator[tuple[int, Block]]:
-    """Blocks of neighbouring texts of at most about BLOCK code points, each with the number of its first text."""
-    begin, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > begin and size + len(text) > BLOCK:
-            yield begin, Block(texts[begin:i])
-            begin, size = i, 0
-        size += len(text)
-    if begin < len(texts):
-        yield begin, Block(texts[begin:])
+    return ((begin, Block(own)) for begin, own in words.in_blocks(texts))
 
 
 def _once(ids: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One place of each different id of each text, and how often the text has it."""
     with np.errstate(over="ignore"):
-        key = ids.astype(np.uint64) ^ (of.astype(np.uint64) + np.uint64(1)) * _ODD
+        key = ids.astype(np.uint64) ^ (of.astype(np.uint64) + np.uint64(1)) * words.ODD
     order = np.argsort(key)
     new = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0])) if len(key) else np.empty(0, np.int64)
     return order[new], np.diff(np.append(new, len(key)))
@@ -129,12 +86,12 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, block in blocks(batch.column(0).to_pylist()):
             at, n = _once(block.ids, block.of)
             lengths = np.diff(block.first)[block.of[at]]
-            words, steps = block.ids[at], np.floor(np.log2(n / lengths) * STEPS).astype(np.int32)
+            own, steps = block.ids[at], np.floor(np.log2(n / lengths) * STEPS).astype(np.int32)
             pairs, where = block.pairs()
             once, _ = _once(pairs, block.of[where])
             first, second = block.ids[where[once]], block.ids[where[once] + 1]
-            none = pa.nulls(len(words), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(words), none, none, pa.array(steps)], names=["k", "a", "b", "step"])
+            none = pa.nulls(len(own), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(own), none, none, pa.array(steps)], names=["k", "a", "b", "step"])
             yield pa.RecordBatch.from_arrays([pa.array(pairs[once]), pa.array(first), pa.array(second), pa.nulls(len(once), pa.int32())], names=["k", "a", "b", "step"])
 
 
@@ -203,10 +160,10 @@ def corpus_statistics(texts: DataFrame, keep=lambda x: x) -> DataFrame:
     """
     n = texts.count()
     counts = keep(texts.select("text").mapInArrow(_counts, COUNTS).groupBy("k", "a", "b", "step").agg(F.count("*").alias("n")))
-    words = counts.where("step IS NOT NULL").groupBy("k").agg(F.sum("n").alias("n"), F.percentile("step", F.lit(USUAL), F.col("n")).alias("step"))
-    words = keep(words)
+    own = counts.where("step IS NOT NULL").groupBy("k").agg(F.sum("n").alias("n"), F.percentile("step", F.lit(USUAL), F.col("n")).alias("step"))
+    own = keep(own)
     pairs = counts.where("step IS NULL").select("k", "a", "b", F.col("n"))
-    first, second = words.select(F.col("k").alias("a"), F.col("n").alias("df_a")), words.select(F.col("k").alias("b"), F.col("n").alias("df_b"))
+    first, second = own.select(F.col("k").alias("a"), F.col("n").alias("df_a")), own.select(F.col("k").alias("b"), F.col("n").alias("df_b"))
     raw = F.log2(F.col("n").cast("double") * n / F.col("df_a") / F.col("df_b"))
     # high information of rare pairs is discounted (as by Pantel and Lin, with 5 for 1): it may be chance
     rarer = F.least("df_a", "df_b")
@@ -214,7 +171,7 @@ def corpus_statistics(texts: DataFrame, keep=lambda x: x) -> DataFrame:
     bits = pairs.join(first, "a").join(second, "b").groupBy("k").agg(F.max(discounted).cast("float").alias("v"), F.max("n").alias("n"))
     step = (F.col("step") + 1) / STEPS
     shrunk = (F.col("n") * step + RARE_WEIGHT * float(np.log2(RARE_DENSITY))) / (F.col("n") + RARE_WEIGHT)
-    usual = words.select("k", F.pow(F.lit(2.0), F.least(step, shrunk)).cast("float").alias("v"), "n")
+    usual = own.select("k", F.pow(F.lit(2.0), F.least(step, shrunk)).cast("float").alias("v"), "n")
     return bits.unionByName(usual)
 
 

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from sheetloom.llm import coherence
+from sheetloom.llm import words
 from sheetloom.llm.coherence import Block, blocks, spam_shares
 from sheetloom.tables import materialise
 
@@ -53,7 +53,7 @@ def test_words_skip_links_and_codes():
 def test_blocks_are_the_same_whatever_their_size(monkeypatch):
     texts = [*corpus()[0][:50], "", "x", "\U0001f600 pump"]
     whole = Block(texts)
-    monkeypatch.setattr(coherence, "BLOCK", 200)
+    monkeypatch.setattr(words, "BLOCK", 200)
     parts = [*blocks(texts)]
     assert len(parts) > 10 and [*np.concatenate([b.ids for _, b in parts])] == [*whole.ids] and [*np.concatenate([b.of + n for n, b in parts])] == [*whole.of]
 

@@ -48,9 +48,17 @@ def test_operator(spark):
     ]
     d = spark.createDataFrame([(*r, 0) for r in docs], "doc_id bigint, text string, item_id int")
     e = spark.createDataFrame([(10, P1), (11, "tiny PASSAGE"), (12, None), (13, ""), (14, "no such thing as this at all in any of the documents there")], "item_id bigint, passage string")
-    for block in (100, 2):  # in one block and in several
-        got = sorted((r["item_id"], r["doc_id"]) for r in leaked(d, e, block=block).where("longest >= least(12, n_words)").collect())
+    for held in (10_000, 1):  # held by all tasks, and joined by seeds
+        got = sorted((r["item_id"], r["doc_id"]) for r in leaked(d, e, held=held).where("longest >= least(12, n_words)").collect())
         assert got == [(10, 1), (10, 1), (10, 3), (10, 7), (11, 4)]
     reordered = leaked(d, e).where("doc_id = 8").first()
     assert reordered["longest"] == 10 and reordered["n_tiles"] == 3 and reordered["covered"] == 30
     assert leaked(d.limit(0), e).count() == 0 and leaked(d, e.limit(0)).count() == 0
+
+
+def test_all_passages_of_a_repeated_item_key_count(spark):
+    d = spark.createDataFrame([(1, f"x {P1} y"), (2, "one two three four"), (None, P1), (3, "\u0130stanbul one two")], "doc_id bigint, text string")
+    e = spark.createDataFrame([(10, "one two three"), (10, P1), (10, P1), (11, "\u0130STANBUL ONE")], "item_id bigint, passage string")
+    for held in (10_000, 1):
+        got = sorted(((r["item_id"], r["doc_id"], r["n_words"]) for r in leaked(d, e, held=held).where("longest = n_words").collect()), key=repr)
+        assert got == sorted([(10, 1, 30), (10, 2, 3), (10, None, 30), (11, 3, 3)], key=repr)
