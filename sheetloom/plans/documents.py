@@ -11,42 +11,6 @@ from sheetloom.tables import table
 VARIANTS = "array<variant>"
 
 
-def _get(v: Column, *names: str) -> Column:
-    """First filled member of a VARIANT among names."""
-    return T.first_filled(*[F.try_variant_get(v, f"$.{n}", "string") for n in names])
-
-
-def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "processing_state").select("state_id", F.try_parse_json("parsed_json_data").alias("doc"))
-
-
-def _members(path: str) -> Column:
-    return F.try_variant_get("doc", path, VARIANTS)
-
-
-def _j(v: str, *names: str) -> str:
-    return "coalesce(" + ", ".join(f"nullif(trim({v}->>'$.{n}'), '')" for n in names) + ")"
-
-
-def sheet_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sheet data of each structured drawing, with fallbacks and the discipline inferred from a single section."""
-    docs = _parsed(spark, sf_dir).where("doc IS NOT NULL")
-    sections = {"ELECTRICAL": "Electrical", "MECHANICAL": "Mechanical", "PLUMBING": "Plumbing", "ARCHITECTURAL": "Architectural"}
-    has = {s: F.try_variant_get("doc", f"$.{s}", "variant").isNotNull() for s in sections}
-    n = sum((h.cast("int") for h in has.values()), F.lit(0))
-    found = F.coalesce(*[F.when(has[s], F.lit(d)) for s, d in sections.items()])
-    meta = lambda k: T.blank_to_null(F.try_variant_get("doc", f"$.DRAWING_METADATA.{k}", "string"))
-    return docs.select("state_id", F.coalesce(meta("drawing_number"), F.lit("unknown")).alias("sheet_number"), F.coalesce(meta("title"), F.lit("")).alias("sheet_title"), F.coalesce(meta("project_name"), F.lit("")).alias("project"), F.coalesce(meta("revision"), F.lit("")).alias("revision"), F.when(n == 1, found).alias("discipline"))
-
-
-_HAS = {s: f"CAST(json_type(parsed_json_data, '$.{s}') IS NOT NULL AND json_type(parsed_json_data, '$.{s}') <> 'NULL' AS INT)" for s in ("ELECTRICAL", "MECHANICAL", "PLUMBING", "ARCHITECTURAL")}
-SHEET_METADATA_SQL = f"""
-    SELECT state_id, coalesce({_j('parsed_json_data', 'DRAWING_METADATA.drawing_number')}, 'unknown') AS sheet_number, coalesce({_j('parsed_json_data', 'DRAWING_METADATA.title')}, '') AS sheet_title,
-           coalesce({_j('parsed_json_data', 'DRAWING_METADATA.project_name')}, '') AS project, coalesce({_j('parsed_json_data', 'DRAWING_METADATA.revision')}, '') AS revision,
-           CASE WHEN {' + '.join(_HAS.values())} = 1 THEN CASE {' '.join(f"WHEN {h} = 1 THEN '{s.capitalize()}'" for s, h in _HAS.items())} END END AS discipline
-    FROM processing_state WHERE json_valid(parsed_json_data)"""
-
-
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per sheet and schedule type how many rows have a full key, a load and a current; rooms as a type of their own."""
     rows = table(spark, sf_dir, "schedule_row").groupBy("sheet_number", "schedule_type").agg(F.count("*").alias("total"), F.count_if(F.col("panel_name").isNotNull() & F.col("circuit_number").isNotNull()).alias("with_panel_circuit"), F.count_if(F.col("kva").isNotNull()).alias("with_kva"), F.count_if(F.col("amps").isNotNull()).alias("with_amps"))
@@ -204,22 +168,6 @@ TITLEBLOCKS_SQL = f"""
     FROM (SELECT extraction_id, titleblock_text AS t, upper(titleblock_text) AS u, length(titleblock_text) AS n FROM extraction_result WHERE trim(titleblock_text) <> '')"""
 
 
-def sheet_note_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Notes of each drawing as one chunk of at most 1500 characters, headed by the sheet."""
-    notes = F.coalesce(*[F.when(F.size(_members(f"$.{k}")) > 0, _members(f"$.{k}")) for k in ("notes", "NOTES", "general_notes")])
-    lines = F.filter(F.transform(notes, lambda v: F.trim(F.try_variant_get(v, "$", "string"))), lambda s: s != "")
-    sheet = F.coalesce(T.blank_to_null(F.try_variant_get("doc", "$.DRAWING_METADATA.drawing_number", "string")), F.lit("unknown"))
-    body = F.concat(sheet, F.lit(" notes\n"), F.array_join(lines, "\n"))
-    content = F.when(F.length(body) > 1500, F.concat(F.rtrim(F.substring(body, 1, 1497)), F.lit("..."))).otherwise(body)
-    return _parsed(spark, sf_dir).where(F.size(lines) > 0).select("state_id", F.concat(sheet, F.lit("-chunk-0001")).alias("chunk_id"), content.alias("content"))
-
-
-_NOTES = "CASE " + " ".join(f"WHEN json_array_length(json_extract(parsed_json_data, '$.{k}')) > 0 THEN json_extract(parsed_json_data, '$.{k}')" for k in ("notes", "NOTES", "general_notes")) + " END"
-SHEET_NOTE_CHUNKS_SQL = f"""
-    SELECT state_id, sheet || '-chunk-0001' AS chunk_id, CASE WHEN length(body) > 1500 THEN rtrim(body[1:1497]) || '...' ELSE body END AS content FROM (SELECT state_id, sheet, sheet || ' notes' || chr(10) || array_to_string(l, chr(10)) AS body
-    FROM (SELECT state_id, coalesce({_j('parsed_json_data', 'DRAWING_METADATA.drawing_number')}, 'unknown') AS sheet, list_filter(list_transform(from_json({_NOTES}, '["VARCHAR"]'), lambda s: trim(s)), lambda s: s <> '') AS l FROM processing_state WHERE json_valid(parsed_json_data)) WHERE len(l) > 0)"""
-
-
 def _panel_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").where("text rlike '(?im)^\\\\s*panel'")
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -281,10 +229,10 @@ TABLE_SCORES_SQL = """
     FROM (SELECT extraction_id, generate_subscripts(l, 1) - 1 AS table_no, lower(CAST(unnest(l) AS VARCHAR)) AS t FROM (SELECT extraction_id, from_json(tables_json, '["JSON"]') AS l FROM extraction_result WHERE json_valid(tables_json))))"""
 
 
-QUERIES = {f.__name__: f for f in (sheet_metadata, coverage, latest_rows, drawing_types, row_identifiers, circuit_pairs, room_records, ocr_decisions, panel_lines, parse_status, titleblocks, sheet_note_chunks, panel_circuits_per_line, panel_markers, table_scores)}
+QUERIES = {f.__name__: f for f in (coverage, latest_rows, drawing_types, row_identifiers, circuit_pairs, room_records, ocr_decisions, panel_lines, parse_status, titleblocks, panel_circuits_per_line, panel_markers, table_scores)}
 SQL = {
-    "sheet_metadata": SHEET_METADATA_SQL, "coverage": COVERAGE_SQL, "latest_rows": LATEST_ROWS_SQL,
+    "coverage": COVERAGE_SQL, "latest_rows": LATEST_ROWS_SQL,
     "drawing_types": DRAWING_TYPES_SQL, "row_identifiers": ROW_IDENTIFIERS_SQL, "circuit_pairs": CIRCUIT_PAIRS_SQL, "room_records": ROOM_RECORDS_SQL, "ocr_decisions": OCR_DECISIONS_SQL, "panel_lines": PANEL_LINES_SQL,
-    "titleblocks": TITLEBLOCKS_SQL, "sheet_note_chunks": SHEET_NOTE_CHUNKS_SQL,
+    "titleblocks": TITLEBLOCKS_SQL,
     "panel_circuits_per_line": PANEL_CIRCUITS_SQL, "panel_markers": PANEL_MARKERS_SQL, "table_scores": TABLE_SCORES_SQL,
 }

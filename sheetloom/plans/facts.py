@@ -57,7 +57,7 @@ ARCHITECTURAL = {
 }
 #: What row sources may set beside a row's own members.
 GIVEN = ("panel", "circuit", "description", "amps", "voltage", "phase", "poles", "tag", "wall_type", "ceiling_type")
-READ = sorted({n for table_ in (NUMBERS, TEXTS, DERIVED, *KEYS.values()) for names in table_.values() for n in names})
+READ = sorted({"trip", "tag", "voltage"} | {n for table_ in (NUMBERS, TEXTS, DERIVED, *KEYS.values()) for names in table_.values() for n in names})
 
 
 def lowered(v: Column) -> Column:
@@ -187,8 +187,9 @@ def block_rows(docs: DataFrame) -> DataFrame:
     return rows.where("schedule_type <> ''").select("*", _given())
 
 
-def fact_documents(rows: DataFrame) -> DataFrame:
-    """Keys, attributes, labels and summary of rows (schedule_type, r, given, and any further columns); rows without a full key are left out."""
+def described(rows: DataFrame) -> DataFrame:
+    """Members (_<name>), attributes (a_<name>), parts of the key (k_<name>) and summary (content) of rows (schedule_type, r, given, and any
+    further columns)."""
     own = [c for c in rows.columns if c not in ("r", "given")]
 
     def member(name: str) -> Column:
@@ -209,7 +210,14 @@ def fact_documents(rows: DataFrame) -> DataFrame:
         for k, value in cases[1:]:
             out = out.when(kind == k, value)
         parts[part] = out
-    x = x.select(*own, *[F.col(f"_{n}") for n in sorted({n for names in DERIVED.values() for n in names})], F.inline(F.array(F.struct(*[c.alias(k) for k, c in attributes.items()], *[c.alias(f"k_{k}") for k, c in parts.items()]))))
+    x = x.select(*own, *[F.col(f"_{n}") for n in READ], F.inline(F.array(F.struct(*[c.alias(k) for k, c in attributes.items()], *[c.alias(f"k_{k}") for k, c in parts.items()]))))
+    return x.withColumn("content", summary())
+
+
+def fact_documents(rows: DataFrame) -> DataFrame:
+    """Keys, attributes, labels and summary of rows (schedule_type, r, given, and any further columns); rows without a full key are left out."""
+    x, kind = described(rows), F.col("schedule_type")
+    parts = [c[2:] for c in x.columns if c.startswith("k_")]
     full = F.lit(False)
     for k, names in KEYS.items():
         has = F.lit(True)
@@ -222,13 +230,13 @@ def fact_documents(rows: DataFrame) -> DataFrame:
     labels = F.array_join(F.array_compact(F.array(*[F.when(F.greatest(*[said.contains(w).cast("int") for w in words], F.lit(0)) > 0, label) for label, words in LABELS.items()])), ",")
     fallback = {"panel_name": ["a_panel", "k_panel"], "circuit_number": ["k_circuit", "a_circuit"], "poles": ["a_phase"], "amps": ["a_rating_a"], "kva": ["a_kva"], "description": ["a_description"]}
     derived = {k: T.blank_to_null(F.coalesce(*[F.col(f"_{n}") for n in names], *[F.col(c).cast("string") for c in fallback[k]])) for k, names in DERIVED.items()}
-    x = x.withColumns({"row_key": key, "labels": labels, "content": summary()} | derived)
-    return x.drop(*[f"_{n}" for n in {n for names in DERIVED.values() for n in names}], *[f"k_{p}" for p in parts])
+    x = x.withColumns({"row_key": key, "labels": labels} | derived)
+    return x.drop(*[f"_{n}" for n in READ], *[f"k_{p}" for p in parts])
 
 
 def summary() -> Column:
     """A readable line for a fact, by its type."""
-    a, k = (lambda n: F.col(f"a_{n}")), (lambda n: F.col(f"k_{n}"))
+    a, k = (lambda n: F.col(f"a_{n}")), (lambda n: F.coalesce(F.col(f"k_{n}"), F.lit("None")))
     whole = lambda n, before="", after="": F.coalesce(F.concat(F.lit(before), a(n).cast("bigint").cast("string"), F.lit(after)), F.lit(""))
     plain = lambda n, before="", after="": F.coalesce(F.concat(F.lit(before), a(n).cast("string"), F.lit(after)), F.lit(""))
     dash = F.lit(" — ")
@@ -249,17 +257,27 @@ def summary() -> Column:
     return out.otherwise("row")
 
 
+def no_given() -> Column:
+    return _given()
+
+
+def section_rows(docs: DataFrame) -> DataFrame:
+    """Rows of the electrical, mechanical, plumbing and architectural sections of docs (state_id, doc), whose names may be in any case."""
+    top = docs.where(F.col("doc").isNotNull()).select("state_id", F.inline(F.array(F.struct(lowered(F.col("doc")).alias("m")))))
+    section = lambda *names: F.coalesce(*[lowered(F.try_element_at("m", F.lit(n))) for n in names])
+    sections = top.select("state_id", F.inline(F.array(F.struct(section("electrical").alias("electrical"), section("mechanical").alias("mechanical"), section("plumbing").alias("plumbing"), section("architectural", "arch").alias("architectural")))))
+    out = None
+    for source in (panel_rows, mechanical_rows, plumbing_rows, architectural_rows):
+        out = source(sections) if out is None else out.unionByName(source(sections))
+    return out
+
+
 def emit_facts(docs: DataFrame) -> DataFrame:
     """Fact documents of docs (state_id, doc VARIANT): those of typed blocks or, in files without blocks, of the electrical, mechanical,
     plumbing and architectural sections, whose names may be in any letter case. Null and faulty documents give none; repeated rows
     each give theirs. Every branch reads the documents narrowly; nothing is shuffled."""
     blocked = F.coalesce(F.size(F.try_variant_get("doc", "$.blocks", VARIANTS)) > 0, F.lit(False))
-    top = docs.where(F.col("doc").isNotNull() & ~blocked).select("state_id", F.inline(F.array(F.struct(lowered(F.col("doc")).alias("m")))))
-    section = lambda *names: F.coalesce(*[lowered(F.try_element_at("m", F.lit(n))) for n in names])
-    sections = top.select("state_id", F.inline(F.array(F.struct(section("electrical").alias("electrical"), section("mechanical").alias("mechanical"), section("plumbing").alias("plumbing"), section("architectural", "arch").alias("architectural")))))
-    rows = block_rows(docs.where(blocked))
-    for more in (panel_rows, mechanical_rows, plumbing_rows, architectural_rows):
-        rows = rows.unionByName(more(sections))
+    rows = block_rows(docs.where(blocked)).unionByName(section_rows(docs.where(~blocked)))
     return fact_documents(rows)
 
 
