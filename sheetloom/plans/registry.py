@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sheetloom.plans import documents, facts, metrics, search, sheets, training
+from sheetloom.plans import documents, facts, layout, metrics, search, sheets, training
 
-MODULES = [training, facts, sheets, documents, search, metrics]
+MODULES = [training, facts, sheets, documents, layout, search, metrics]
 
 
 def queries() -> dict:

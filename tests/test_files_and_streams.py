@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 from sheetloom.sources.files import read_json_documents, scan_files, write_json_lines
-from sheetloom.streaming.upsert import merge_stream, read_merged
+from sheetloom.streaming.upsert import compact, merge_stream, read_merged
 
 
 def test_scan_and_json(spark, tmp_path):
@@ -31,4 +31,15 @@ def test_stream_merges_by_key(spark, tmp_path):
     merge_stream(spark, *where).awaitTermination()
     (source / "2.json").write_text('{"id": "a", "written_at": "2024-01-01T01:00:00Z", "v": 2}\n{"id": "a", "written_at": "2024-01-01T01:00:00Z", "v": 2}\n')
     merge_stream(spark, *where).awaitTermination()
-    assert sorted((r["id"], r["v"]) for r in read_merged(spark, str(tmp_path / "table")).collect()) == [("a", 2), ("b", 5)]
+    now = lambda: sorted((r["id"], r["v"]) for r in read_merged(spark, where[2], schema).collect())
+    assert now() == [("a", 2), ("b", 5)]
+    # a first delivery that comes days late counts, one that is older than what is there doesn't
+    (source / "3.json").write_text('{"id": "c", "written_at": "2023-06-01T00:00:00Z", "v": 7}\n{"id": "b", "written_at": "2023-06-01T00:00:00Z", "v": 1}\n')
+    merge_stream(spark, *where).awaitTermination()
+    assert now() == [("a", 2), ("b", 5), ("c", 7)]
+    compact(spark, where[2], schema)
+    assert now() == [("a", 2), ("b", 5), ("c", 7)]
+    (source / "4.json").write_text('{"id": "a", "written_at": "2024-02-01T00:00:00Z", "v": 9}\n')
+    merge_stream(spark, *where).awaitTermination()
+    assert now() == [("a", 9), ("b", 5), ("c", 7)]
+    assert read_merged(spark, str(tmp_path / "none"), schema).count() == 0

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from sheetloom.functions.aliases import CIRCUIT_ALIASES, normalised, phase_aliases
+from sheetloom.functions.aliases import CIRCUIT_ALIASES, LOAD_ALIASES, circuit_record, normalised, pipe_size
 from sheetloom.operators import geometry as G
 
 
@@ -49,8 +49,12 @@ def test_nearest_column_and_circuit_number(spark):
 def test_aliases(spark):
     entries = [{"CKT": "5", "Description": " Pump ", "amps": "", "breaker": "20A", "circuit_no": "4"}, {"phase a": "540", "Va_Phase_A": None}, {}, None]
     df = spark.createDataFrame([(i, e) for i, e in enumerate(entries)], "i int, e map<string,string>")
-    table = CIRCUIT_ALIASES | {"va_phase_a": phase_aliases("a", 1)}
+    table = CIRCUIT_ALIASES | {"va_phase_a": LOAD_ALIASES["va_phase_a"]}
     got = [tuple(r["n"]) for r in df.select("i", normalised(F.col("e"), table).alias("n")).orderBy("i").collect()]
     assert got == [("4", "Pump", "20A", None, None), (None, None, None, None, "540"), (None,) * 5, (None,) * 5]
     last = df.where("i = 0").select(normalised(F.col("e"), table, last_wins=True).alias("n")).first()["n"]
     assert last["circuit"] == "5"
+    full = df.select(circuit_record(F.create_map(F.lit("#"), F.lit("3"), F.lit("p"), F.lit("3 P"), F.lit("phase_1_load"), F.lit("1,540.5 VA"), F.lit("Demand"), F.lit("9 kVA"))).alias("c")).first()["c"]
+    assert tuple(full) == ("3", None, None, 3, 1540.5, None, None, 9.0)
+    sizes = [(t,) for t in ('1-1/2"', "3 inch", "none", None)]
+    assert [r[0] for r in spark.createDataFrame(sizes, "t string").select(pipe_size(F.col("t"))).collect()] == [0.5, 3.0, None, None]
