@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -100,21 +104,75 @@ def unfenced(c: Column) -> Column:
     return F.when(c.rlike(r"(?is)^\s*```(?:json)?\s*.*?\s*```\s*$"), inner).otherwise(F.trim(c))
 
 
+_BARE_KEY = re.compile(r"[A-Za-z_]\w*(?=\s*:)")
+
+
+def repair_text(text: str) -> str:
+    """A JSON text with missing commas, trailing commas, bare keys and missing closing brackets put right outside its strings;
+    brackets close in the order in which they are open. Of a repeated key the last value counts. The text itself if nothing parses."""
+    try:
+        return json.dumps(json.loads(text), ensure_ascii=False)
+    except (ValueError, RecursionError):
+        pass
+    out: list[str] = []
+    opened: list[str] = []
+    last, at, n = "", 0, len(text)  # last: the last mark that is no white space
+    while at < n:
+        c = text[at]
+        if c == '"':
+            end = at + 1
+            while end < n and text[end] != '"':
+                end += 2 if text[end] == "\\" else 1
+            piece = text[at : min(end + 1, n)]
+            if last in ('"', "}", "]"):
+                out.append(",")
+            out.append(piece)
+            at, last = at + len(piece), '"'
+            continue
+        key = _BARE_KEY.match(text, at) if last in ("{", ",", "}", "]") else None
+        if key:
+            out.append(("," if last in ("}", "]") else "") + f'"{key.group()}"')
+            at, last = key.end(), '"'
+            continue
+        if c in "{[":
+            if last in ("}", "]"):
+                out.append(",")
+            opened.append("}" if c == "{" else "]")
+        elif c in "}]":
+            while last == "," and out and out[-1].strip() in ("", ","):
+                if out.pop().strip():
+                    break
+            if opened:
+                opened.pop()
+        out.append(c)
+        if not c.isspace():
+            last = c
+        at += 1
+    if last == ",":
+        while out and out[-1].strip() in ("", ","):
+            if out.pop().strip():
+                break
+    made = "".join([*out, *reversed(opened)])
+    try:
+        return json.dumps(json.loads(made), ensure_ascii=False)
+    except (ValueError, RecursionError):
+        return text
+
+
+def _repaired(texts: pd.Series) -> pd.Series:
+    return texts.map(repair_text, na_action="ignore")
+
+
 def repaired_json(c: Column) -> Column:
-    """Missing commas between members, trailing commas, bare keys and unbalanced closing brackets put right."""
-    s = F.regexp_replace(c, r"([}\]\"])\s*\n\s*(?=[\"{\[])", "$1, ")
-    s = F.regexp_replace(s, r",\s*(?=[}\]])", "")
-    s = F.regexp_replace(s, r"([{,]\s*)([A-Za-z_]\w*)\s*:", "$1\"$2\":")
-    opened = lambda a: F.length(s) - F.length(F.replace(s, F.lit(a), F.lit("")))
-    square = F.repeat(F.lit("]"), F.greatest(F.lit(0), opened("[") - opened("]")))
-    curly = F.repeat(F.lit("}"), F.greatest(F.lit(0), opened("{") - opened("}")))
-    return F.concat(s, square, curly)
+    """repair_text of a column, on Arrow batches."""
+    return F.pandas_udf(_repaired, "string")(c)
 
 
 def safe_json(c: Column) -> Column:
-    """The parsed text as VARIANT, after a repair if it needs one; null if neither parses."""
+    """The parsed text as VARIANT, after a repair if it needs one; null if neither parses. Only texts that don't parse are repaired."""
     text = unfenced(c)
-    return F.coalesce(F.try_parse_json(text), F.try_parse_json(repaired_json(text)))
+    plain = F.try_parse_json(text)
+    return F.coalesce(plain, F.try_parse_json(repaired_json(F.when(plain.isNull(), text))))
 
 
 # Ordered rules for the type of a schedule block, each word pattern with its type; all need the word schedule.

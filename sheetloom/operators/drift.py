@@ -6,6 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def plain_decimal(text: Column) -> Column:
+    """One spelling of a number's text, whatever its length: without plus, leading and trailing zeros; with an exponent only where it
+    was told with one. Null for other texts."""
+    t = F.trim(text)
+    body = F.regexp_replace(t, "^[+-]", "")
+    whole = F.regexp_replace(F.regexp_extract(body, r"^(\d*)", 1), "^0+", "")
+    part = F.regexp_replace(F.regexp_extract(body, r"^\d*\.(\d+)$", 1), "0+$", "")
+    digits = F.concat(F.coalesce(F.nullif(whole, F.lit("")), F.lit("0")), F.when(part != "", F.concat(F.lit("."), part)).otherwise(""))
+    plain = F.when(digits == "0", digits).otherwise(F.concat(F.when(t.startswith("-"), "-").otherwise(""), digits))
+    # a number with an exponent is that which a double reads
+    told = F.when(t.rlike(r"^[+-]?\d+(\.\d+)?[eE][+-]?\d+$"), t.try_cast("double").try_cast("decimal(38,15)").cast("string"))
+    return F.when(t.rlike(r"^[+-]?\d+(\.\d+)?$"), plain).otherwise(F.regexp_replace(F.regexp_replace(told, "0+$", ""), r"\.$", ""))
+
+
 def exploded_fields(df: DataFrame, feed: str, file: str, file_no: str, record_key: str, payload: str) -> DataFrame:
     """One row per record and top-level field: feed, file_id, file_no, record_key, field, kind (JSON type, null
     for a JSON null) and val (comparable text). Payloads that are no JSON object have no fields."""
@@ -16,7 +30,7 @@ def exploded_fields(df: DataFrame, feed: str, file: str, file_no: str, record_ke
         F.when(told.startswith("ARRAY"), "array").when(told.startswith("OBJECT"), "object").when(told == "BOOLEAN", "boolean").when(told == "STRING", "string").when(told != "VOID", "number")
     )
     text = F.col("v").cast("string")
-    number = F.when(text.rlike(r"^\s*[+-]?\d{1,20}(\.\d{1,15})?\s*$"), F.regexp_replace(F.trim(text).cast("decimal(38,15)").cast("string"), r"\.?0+$", ""))
+    number = plain_decimal(text)
     return x.select("feed", "file_id", "file_no", "record_key", "field", kind.alias("kind"), F.coalesce(number, text).alias("val"))
 
 

@@ -25,15 +25,16 @@ COVERAGE_SQL = """
 
 
 def latest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed upsert: of rows with one id the last taken in counts. max_by keeps map-side partial aggregates, so an id
-    that many rows share isn't gathered."""
-    rows = table(spark, sf_dir, "schedule_row")
-    last = F.max(F.struct("ingested_at", "row_id", "revision", "amps", "kva")).alias("m")
-    return rows.groupBy("id").agg(last, F.count("*").alias("n_versions")).select("id", "m.row_id", "m.revision", "m.amps", "m.kva", "n_versions")
+    """Keyed upsert: of rows with one id the last taken in counts. Partial aggregates keep an id that many rows share from being
+    gathered; levels come as text."""
+    rows = table(spark, sf_dir, "schedule_row").withColumn("levels", F.array_join("levels", "|"))
+    own = [c for c in rows.columns if c not in ("id", "ingested_at", "row_id")]
+    last = F.max(F.struct("ingested_at", "row_id", *own)).alias("m")
+    return rows.groupBy("id").agg(last, F.count("*").alias("n_versions")).select("id", "m.row_id", *[f"m.{c}" for c in own], "n_versions")
 
 
 LATEST_ROWS_SQL = """
-    SELECT id, row_id, revision, amps, kva, n_versions FROM (SELECT *, count(*) OVER (PARTITION BY id) AS n_versions, row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC, row_id DESC) AS n FROM schedule_row) WHERE n = 1"""
+    SELECT * EXCLUDE (n, ingested_at) REPLACE (array_to_string(levels, '|') AS levels) FROM (SELECT *, count(*) OVER (PARTITION BY id) AS n_versions, row_number() OVER (PARTITION BY id ORDER BY ingested_at DESC, row_id DESC) AS n FROM schedule_row) WHERE n = 1"""
 
 
 def drawing_types(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,18 +102,18 @@ ROOM_RECORDS_SQL = f"""
 
 
 def ocr_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which extractions would be read by OCR: few characters a page, else few in all."""
+    """Whether each extraction would be read by OCR: few characters a page, else few in all."""
     n, pages = F.length(F.trim(F.coalesce("raw_text", F.lit("")))), F.greatest(F.coalesce(F.col("metadata.page_count"), F.lit(1)), F.lit(1))
     reason = F.when(n / pages < 1500, "char_density_low").when(n < 2000, "low_total_chars").otherwise("sufficient_text")
-    x = table(spark, sf_dir, "extraction_result").select(reason.alias("reason"), n.alias("n_chars"))
-    return x.groupBy("reason").agg(F.count("*").alias("n_files"), F.sum("n_chars").cast("bigint").alias("n_chars"), F.round(F.avg("n_chars"), 3).alias("avg_chars"))
+    return table(spark, sf_dir, "extraction_result").select("extraction_id", n.alias("n_chars"), pages.alias("n_pages"), reason.alias("reason"), (reason != "sufficient_text").alias("performed"))
 
 
 OCR_DECISIONS_SQL = """
-    SELECT reason, count(*) AS n_files, CAST(sum(n) AS BIGINT) AS n_chars, round(avg(n), 3) AS avg_chars FROM (SELECT n, CASE WHEN n / pages < 1500 THEN 'char_density_low' WHEN n < 2000 THEN 'low_total_chars' ELSE 'sufficient_text' END AS reason
-    FROM (SELECT length(trim(coalesce(raw_text, ''))) AS n, greatest(coalesce(metadata.page_count, 1), 1) AS pages FROM extraction_result)) GROUP BY reason"""
+    SELECT *, reason <> 'sufficient_text' AS performed FROM (SELECT extraction_id, CAST(n AS INT) AS n_chars, CAST(pages AS INT) AS n_pages, CASE WHEN n / pages < 1500 THEN 'char_density_low' WHEN n < 2000 THEN 'low_total_chars' ELSE 'sufficient_text' END AS reason
+    FROM (SELECT extraction_id, length(trim(coalesce(raw_text, ''))) AS n, greatest(coalesce(metadata.page_count, 1), 1) AS pages FROM extraction_result))"""
 
 
+# Forms of a rating and of a load, and words of a summary line.
 AMPS, LOAD = r"(?i)\d+\s*A\b", r"(?i)\d+(?:\.\d+)?\s*(?:VA|KVA|KW)\b"
 SUMMARY = "total|connected|demand factor|%"
 
@@ -206,12 +207,12 @@ def panel_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = F.when(F.col("header").isNotNull(), F.concat(F.coalesce(F.concat(F.lit("=== END PANEL SCHEDULE: "), ended, F.lit(" ===\n")), F.lit("")), F.lit("=== PANEL SCHEDULE: "), F.col("header"), F.lit(" ===\n"))).otherwise("")
     after = F.when(last & F.col("panel_id").isNotNull(), F.concat(F.lit("\n=== END PANEL SCHEDULE: "), F.col("panel_id"), F.lit(" ==="))).otherwise("")
     x = x.select("doc_id", F.struct("line_no", F.concat(before, "line", after).alias("t")).alias("l")).groupBy("doc_id").agg(F.array_sort(F.collect_list("l")).alias("ls"))
-    return x.select("doc_id", F.md5(F.array_join(F.transform("ls", lambda v: v["t"]), "\n")).alias("text_md5"))
+    return x.select("doc_id", F.array_join(F.transform("ls", lambda v: v["t"]), "\n").alias("text"))
 
 
 PANEL_MARKERS_SQL = f"""
-    SELECT doc_id, md5(string_agg(CASE WHEN header IS NOT NULL THEN coalesce('=== END PANEL SCHEDULE: ' || ended || ' ===' || chr(10), '') || '=== PANEL SCHEDULE: ' || header || ' ===' || chr(10) ELSE '' END || line
-        || CASE WHEN nxt IS NULL AND panel_id IS NOT NULL THEN chr(10) || '=== END PANEL SCHEDULE: ' || panel_id || ' ===' ELSE '' END, chr(10) ORDER BY line_no)) AS text_md5
+    SELECT doc_id, string_agg(CASE WHEN header IS NOT NULL THEN coalesce('=== END PANEL SCHEDULE: ' || ended || ' ===' || chr(10), '') || '=== PANEL SCHEDULE: ' || header || ' ===' || chr(10) ELSE '' END || line
+        || CASE WHEN nxt IS NULL AND panel_id IS NOT NULL THEN chr(10) || '=== END PANEL SCHEDULE: ' || panel_id || ' ===' ELSE '' END, chr(10) ORDER BY line_no) AS text
     FROM (SELECT *, lag(panel_id) OVER (PARTITION BY doc_id ORDER BY line_no) AS ended, lead(line_no) OVER (PARTITION BY doc_id ORDER BY line_no) AS nxt FROM ({_BLOCKS_SQL})) GROUP BY doc_id"""
 
 
@@ -229,10 +230,137 @@ TABLE_SCORES_SQL = """
     FROM (SELECT extraction_id, generate_subscripts(l, 1) - 1 AS table_no, lower(CAST(unnest(l) AS VARCHAR)) AS t FROM (SELECT extraction_id, from_json(tables_json, '["JSON"]') AS l FROM extraction_result WHERE json_valid(tables_json))))"""
 
 
-QUERIES = {f.__name__: f for f in (coverage, latest_rows, drawing_types, row_identifiers, circuit_pairs, room_records, ocr_decisions, panel_lines, parse_status, titleblocks, panel_circuits_per_line, panel_markers, table_scores)}
+# Words that a header row of circuits has of each kind, and what the first ten lines of a panel tell.
+HEADER_WORDS = (("ckt", "circuit", "cir."), ("load", "desc", "description", "name"), ("trip", "breaker", "amps", "a"))
+PANEL_FACTS = {"rating_amps": r"(?i)rating\s*:\s*(\d+)\s*A", "voltage": r"(?i)volts?\s*:\s*([0-9/\s]+(?:wye|delta)?)", "panel_type": r"(?i)type\s*:\s*([A-Z]+)", "supply_from": r"(?i)supply\s+from\s*:\s*([A-Z0-9\-]+)", "aic_rating": r"(?i)a\.?i\.?c\.?\s*rating\s*:\s*([0-9K]+)"}
+
+
+def panel_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the head of each panel tells, the row of its column names (from 0) and how many lines come before its first summary line."""
+    w = Window.partitionBy("doc_id", "block_no").orderBy("line_no")
+    line = F.col("line")
+    summary = F.lower(line).rlike(SUMMARY) & (line.rlike(AMPS) | line.rlike(LOAD)) & F.col("header").isNull()
+    x = _panel_blocks(spark, sf_dir).where("block_no > 0 AND doc_id IS NOT NULL").withColumn("place", F.row_number().over(w) - 1).withColumn("ended", F.coalesce(F.max(summary).over(w), F.lit(False)))
+    named = F.lit(True)
+    for words in HEADER_WORDS:
+        named &= F.greatest(*[F.lower(line).contains(v) for v in words])
+    head = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("place") < 10, F.struct("place", "line")))), lambda v: v["line"]), "\n")
+    x = x.groupBy("doc_id", "block_no").agg(F.max("header").alias("panel_id"), head.alias("head"), F.min(F.when(named, F.col("place"))).alias("header_row"), F.count_if(~F.col("ended")).alias("n_kept"))
+    return x.select("doc_id", "block_no", "panel_id", "header_row", "n_kept", *[F.nullif(F.trim(F.regexp_extract("head", p, 1)), F.lit("")).alias(k) for k, p in PANEL_FACTS.items()])
+
+
+PANEL_HEADERS_SQL = f"""
+    WITH l AS (SELECT *, row_number() OVER w - 1 AS place, bool_or(regexp_matches(lower(line), '{SUMMARY}') AND (regexp_matches(line, '{AMPS}') OR regexp_matches(line, '{LOAD}')) AND header IS NULL) OVER (w ROWS UNBOUNDED PRECEDING) AS ended FROM ({_BLOCKS_SQL}) WHERE block_no > 0 WINDOW w AS (PARTITION BY doc_id, block_no ORDER BY line_no)),
+    h AS (SELECT doc_id, block_no, max(header) AS panel_id, string_agg(line, chr(10) ORDER BY place) FILTER (place < 10) AS head, min(place) FILTER ({' AND '.join('(' + ' OR '.join(f"contains(lower(line), '{v}')" for v in words) + ')' for words in HEADER_WORDS)}) AS header_row, count(*) FILTER (NOT ended) AS n_kept FROM l GROUP BY doc_id, block_no)
+    SELECT doc_id, block_no, panel_id, CAST(header_row AS INT) AS header_row, n_kept, {', '.join(f"nullif(trim(regexp_extract(head, '{p}', 1), ' ' || chr(10) || chr(9)), '') AS {k}" for k, p in PANEL_FACTS.items())} FROM h"""
+
+# What the first letter of a specification's name means, and types of files by their ending.
+SPECIFICATIONS = {"E": "ELECTRICAL_SPEC", "M": "MECHANICAL_SPEC", "P": "PLUMBING_SPEC", "A": "ARCHITECTURAL_SPEC"}
+CONTENT_TYPES = {"pdf": "application/pdf", "json": "application/json", "csv": "text/csv", "txt": "text/plain", "png": "image/png", "jpg": "image/jpeg", "dwg": "application/acad", "dxf": "application/dxf", "rvt": "application/octet-stream"}
+
+
+def file_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each state's file name and type tell: type to process as, schedule, specification and panel, sheet number, content type, names
+    in the archive."""
+    path, kind = F.col("pdf_path"), F.lower(F.coalesce("original_drawing_type", F.lit("")))
+    name = F.coalesce(T.base_name(path), F.lit(""))
+    low = F.lower(name)
+    spec = F.lower(path).contains("spec")
+    told = F.when(F.coalesce(F.nullif(F.col("original_drawing_type"), F.lit("General")), F.lit("")) == "", T.discipline(path)).otherwise(F.col("original_drawing_type"))
+    special = F.coalesce(*[F.when(F.upper(F.left(name, F.lit(1))) == k, v) for k, v in SPECIFICATIONS.items()], F.lit("GENERAL_SPEC"))
+    ending = F.lower(F.regexp_extract(name, r"\.([A-Za-z0-9]+)$", 1))
+    content = F.coalesce(*[F.when(ending == k, v) for k, v in CONTENT_TYPES.items()], F.lit("application/octet-stream"))
+    place, stem = T.slug(told), T.drawing_slug(name)
+    return table(spark, sf_dir, "processing_state").select(
+        "state_id", F.when(spec, special).otherwise(told).alias("process_as"), (kind.contains("panel") | kind.contains("schedule") | low.contains("panel") | low.contains("schedule")).alias("is_schedule"), (kind.contains("spec") | low.contains("spec")).alias("is_spec"),
+        (low.contains("panel") | F.lower(F.coalesce("subtype", F.lit(""))).contains("panel")).alias("is_panel"), F.nullif(F.regexp_extract(name, r"^([A-Za-z]{1,3}\d{1,3}(?:\.\d{1,2})?)", 1), F.lit("")).alias("sheet_number"), content.alias("content_type"),
+        F.array_join(F.filter(F.array(place, stem, name), lambda v: v != ""), "/").alias("archive_name"), F.concat_ws("/", place, stem, F.lit("structured"), F.concat(stem, F.lit("_structured.json"))).alias("structured_name"),
+    )
+
+
+_PDF = "coalesce(regexp_extract(pdf_path, '[^/]*$'), '')"
+_PDF_UP = f"upper({_PDF})"
+_PDF_STEM = f"regexp_replace(regexp_replace({_PDF}, '\\.[A-Za-z0-9]+$', ''), '(?i)rev(?:ision)?[\\s._-]*([A-Za-z0-9]+)', '', 'g')"
+_SLUG = "coalesce(nullif(regexp_replace(regexp_replace(lower(trim({0})), '[^a-z0-9]+', '-', 'g'), '^-|-$', '', 'g'), ''), '{1}')"
+FILE_FACTS_SQL = f"""
+    WITH d AS (SELECT *, CASE WHEN {_PDF_UP} = '' THEN 'General' {' '.join(f"WHEN starts_with({_PDF_UP}, '{c}') THEN " + (f"CASE WHEN regexp_matches({_PDF_UP}, '{T.ALARM_WORDS}') THEN 'FireAlarm' ELSE '{v}' END" if v == "LowVoltage" else f"'{v}'") for c, v in T.DISCIPLINE_CODES.items())}
+        WHEN regexp_matches({_PDF_UP}, '^[A-Z0-9]') THEN 'Type_' || regexp_extract({_PDF_UP}, '^[A-Z0-9]{{1,2}}') ELSE 'General' END AS found, lower(coalesce(original_drawing_type, '')) AS k, lower({_PDF}) AS low, {_PDF} AS name FROM processing_state),
+    t AS (SELECT *, CASE WHEN coalesce(nullif(original_drawing_type, 'General'), '') = '' THEN found ELSE original_drawing_type END AS told, {_SLUG.format(_PDF_STEM, 'drawing')} AS stem FROM d)
+    SELECT state_id, CASE WHEN contains(lower(pdf_path), 'spec') THEN CASE upper(name[1]) {' '.join(f"WHEN '{a}' THEN '{v}'" for a, v in SPECIFICATIONS.items())} ELSE 'GENERAL_SPEC' END ELSE told END AS process_as,
+        contains(k, 'panel') OR contains(k, 'schedule') OR contains(low, 'panel') OR contains(low, 'schedule') AS is_schedule, contains(k, 'spec') OR contains(low, 'spec') AS is_spec, contains(low, 'panel') OR contains(lower(coalesce(subtype, '')), 'panel') AS is_panel,
+        nullif(regexp_extract(name, '^([A-Za-z]{{1,3}}[0-9]{{1,3}}(?:\\.[0-9]{{1,2}})?)', 1), '') AS sheet_number, CASE lower(regexp_extract(name, '\\.([A-Za-z0-9]+)$', 1)) {' '.join(f"WHEN '{a}' THEN '{v}'" for a, v in CONTENT_TYPES.items())} ELSE 'application/octet-stream' END AS content_type,
+        {_SLUG.format('told', 'general')} || '/' || stem || CASE WHEN name <> '' THEN '/' || name ELSE '' END AS archive_name, {_SLUG.format('told', 'general')} || '/' || stem || '/structured/' || stem || '_structured.json' AS structured_name FROM t"""
+
+# Marker lines that go before a text with any of these words, the last one first in the text; and the words by which the
+# tables of a discipline are ordered.
+MARKERS = {
+    "architectural": [("ROOM INFORMATION DETECTED:", ("room", "space"))], "mechanical": [("EQUIPMENT INFORMATION DETECTED:", ("equipment", "hvac", "cfm"))],
+    "plumbing": [("PLUMBING CONTENT:", ("",)), ("FIXTURE INFORMATION DETECTED:", ("fixture", "water closet", "lavatory", "sink")), ("WATER HEATER INFORMATION DETECTED:", ("water heater", "hot water", "domestic water")), ("PIPING INFORMATION DETECTED:", ("pipe", "piping", "valve"))],
+}
+TABLE_ORDER = {"architectural": [("room", "space", "finish")], "mechanical": [("equipment", "hvac", "cfm", "tonnage")], "plumbing": [("fixture", "wc", "lav", "sink", "urinal"), ("water heater", "pump", "water temperature"), ("pipe", "valve", "fitting")]}
+
+
+def _any_of(text: Column, words: tuple[str, ...]) -> Column:
+    out = F.lit(False)
+    for w in words:
+        out |= text.contains(w)
+    return out
+
+
+def marked_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracted texts with the marker lines of each discipline, and whether they tell of no panels."""
+    t = F.col("raw_text")
+    low = F.lower(t)
+    marked = {}
+    for discipline, rules in MARKERS.items():
+        text = t
+        for line, words in rules:
+            text = F.when(_any_of(low, words), F.concat(F.lit(line + "\n"), text)).otherwise(text)
+        marked[discipline] = text
+    no_panels = ~(low.contains("panel") & (low.contains("schedule") | low.contains(":")) & _any_of(low, ("circuit", "ckt", "breaker", "trip")))
+    return table(spark, sf_dir, "extraction_result").where("raw_text IS NOT NULL").select("extraction_id", *[c.alias(f"{d}_text") for d, c in marked.items()], no_panels.alias("spec_only"))
+
+
+def _any_sql(text: str, words: tuple[str, ...]) -> str:
+    return "(" + " OR ".join(f"contains({text}, '{w}')" for w in words) + ")"
+
+
+def _marked_sql(rules: list) -> str:
+    text = "raw_text"
+    for line, words in rules:
+        text = f"CASE WHEN {_any_sql('low', words)} THEN '{line}' || chr(10) ELSE '' END || {text}"
+    return text
+
+
+MARKED_TEXTS_SQL = f"""
+    SELECT extraction_id, {', '.join(f'{_marked_sql(rules)} AS {d}_text' for d, rules in MARKERS.items())}, NOT (contains(low, 'panel') AND (contains(low, 'schedule') OR contains(low, ':')) AND {_any_sql('low', ('circuit', 'ckt', 'breaker', 'trip'))}) AS spec_only
+    FROM (SELECT *, lower(raw_text) AS low FROM extraction_result WHERE raw_text IS NOT NULL)"""
+
+
+def table_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each extracted table in the order of each discipline: by words of its cells, then as extracted."""
+    tables = table(spark, sf_dir, "extraction_result").select("extraction_id", F.posexplode(F.try_variant_get(F.try_parse_json("tables_json"), "$", VARIANTS)).alias("table_no", "v"))
+    t = F.lower(F.to_json("v"))
+    rank = {}
+    for discipline, groups in TABLE_ORDER.items():
+        out = F.lit(len(groups))
+        for i, words in reversed([*enumerate(groups)]):
+            out = F.when(_any_of(t, words), i).otherwise(out)
+        rank[discipline] = out
+    x = tables.select("extraction_id", "table_no", F.explode(F.array(*[F.struct(F.lit(d).alias("discipline"), r.alias("rank")) for d, r in rank.items()])).alias("r")).select("extraction_id", "table_no", "r.*")
+    return x.withColumn("place", F.row_number().over(Window.partitionBy("extraction_id", "discipline").orderBy("rank", "table_no")))
+
+
+_TABLES_SQL = "(SELECT extraction_id, CAST(table_no AS INT) AS table_no, lower(CAST(v AS VARCHAR)) AS t FROM (SELECT extraction_id, generate_subscripts(l, 1) - 1 AS table_no, unnest(l) AS v FROM (SELECT extraction_id, from_json(tables_json, '[\"JSON\"]') AS l FROM extraction_result WHERE json_valid(tables_json))))"
+TABLE_ORDER_SQL = "SELECT *, CAST(row_number() OVER (PARTITION BY extraction_id, discipline ORDER BY rank, table_no) AS INT) AS place FROM (" + " UNION ALL ".join(
+    f"SELECT extraction_id, table_no, '{d}' AS discipline, CAST(CASE {' '.join(f'WHEN {_any_sql(chr(116), words)} THEN {i}' for i, words in enumerate(groups))} ELSE {len(groups)} END AS INT) AS rank FROM {_TABLES_SQL}" for d, groups in TABLE_ORDER.items()
+) + ")"
+
+
+QUERIES = {f.__name__: f for f in (coverage, latest_rows, drawing_types, row_identifiers, circuit_pairs, room_records, ocr_decisions, panel_lines, parse_status, panel_headers, file_facts, marked_texts, table_order, titleblocks, panel_circuits_per_line, panel_markers, table_scores)}
 SQL = {
     "coverage": COVERAGE_SQL, "latest_rows": LATEST_ROWS_SQL,
     "drawing_types": DRAWING_TYPES_SQL, "row_identifiers": ROW_IDENTIFIERS_SQL, "circuit_pairs": CIRCUIT_PAIRS_SQL, "room_records": ROOM_RECORDS_SQL, "ocr_decisions": OCR_DECISIONS_SQL, "panel_lines": PANEL_LINES_SQL,
     "titleblocks": TITLEBLOCKS_SQL,
-    "panel_circuits_per_line": PANEL_CIRCUITS_SQL, "panel_markers": PANEL_MARKERS_SQL, "table_scores": TABLE_SCORES_SQL,
+    "panel_circuits_per_line": PANEL_CIRCUITS_SQL, "panel_headers": PANEL_HEADERS_SQL, "file_facts": FILE_FACTS_SQL, "marked_texts": MARKED_TEXTS_SQL, "table_order": TABLE_ORDER_SQL, "panel_markers": PANEL_MARKERS_SQL, "table_scores": TABLE_SCORES_SQL,
 }

@@ -52,6 +52,8 @@ def parse_filter(text: str) -> Column:
         pos += 1
         c, op = F.col(path.replace("/", ".")), op.lower()
         if value.lower() == "null":
+            if op not in ("eq", "ne"):
+                raise ValueError(f"null has no order: {op}")
             return c.isNull() if op == "eq" else c.isNotNull()
         v: object = value[1:-1].replace("''", "'") if value[0] == "'" else value.lower() == "true" if value.lower() in ("true", "false") else float(value) if "." in value else int(value)
         if path == "doc_type":
@@ -143,17 +145,18 @@ SEARCH_LEXICAL_SQL = """
            + ln((d - f2 + 0.5) / (f2 + 0.5) + 1) * t2 * 2.2 / (t2 + 1.2 * (0.25 + 0.75 * n / a)), 6) AS score FROM c, s WHERE t0 + t1 + t2 > 0) ORDER BY score DESC, row_id LIMIT 25"""
 
 
+FACETS = ("discipline", "schedule_type", "revision", "sheet_number", "project_id")
+
+
 def search_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of each value of the facet fields, list fields item by item, in one pass."""
-    fields = F.array(*[F.struct(F.lit(f).alias("facet"), F.col(f).alias("value")) for f in ("discipline", "schedule_type", "revision")])
+    fields = F.array(*[F.struct(F.lit(f).alias("facet"), F.col(f).alias("value")) for f in FACETS])
     levels = F.transform(F.coalesce("levels", F.array()), lambda v: F.struct(F.lit("levels").alias("facet"), v.alias("value")))
     x = _rows(spark, sf_dir).select(F.explode(F.concat(fields, levels)).alias("f")).select("f.facet", "f.value")
     return x.where("value IS NOT NULL").groupBy("facet", "value").agg(F.count("*").alias("n"))
 
 
-SEARCH_FACETS_SQL = """
-    SELECT facet, value, count(*) AS n FROM (SELECT 'discipline' AS facet, discipline AS value FROM schedule_row UNION ALL SELECT 'schedule_type', schedule_type FROM schedule_row UNION ALL SELECT 'revision', revision FROM schedule_row
-    UNION ALL SELECT 'levels', unnest(levels) FROM schedule_row) WHERE value IS NOT NULL GROUP BY facet, value"""
+SEARCH_FACETS_SQL = "SELECT facet, value, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{f}' AS facet, {f} AS value FROM schedule_row" for f in FACETS) + " UNION ALL SELECT 'levels', unnest(levels) FROM schedule_row) WHERE value IS NOT NULL GROUP BY facet, value"
 
 
 def search_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,15 +180,19 @@ SEARCH_TIERS_SQL = """
     SELECT * FROM r UNION ALL SELECT * FROM m WHERE NOT EXISTS (FROM r) UNION ALL SELECT * FROM s WHERE NOT EXISTS (FROM r) AND NOT EXISTS (FROM m)"""
 
 
+# Fields of rows and of rooms that suggestions come from.
+SUGGESTED, SUGGESTED_ROOMS = ("sheet_number", "sheet_title", "panel_name", "circuit_number", "description"), ("room_id", "room_name")
+
+
 def search_suggest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct values that hold the typed text, of several fields."""
+    """Distinct values that hold the typed text, of the fields of rows and rooms."""
     typed = "pan"
-    values = F.explode(F.array("panel_name", "description", "sheet_title", "schedule_type")).alias("suggestion")
-    return _rows(spark, sf_dir).select(values).where(F.lower("suggestion").contains(typed)).groupBy("suggestion").agg(F.count("*").alias("n"))
+    values = [df.select(F.explode(F.array(*fields)).alias("suggestion")) for df, fields in ((_rows(spark, sf_dir), SUGGESTED), (table(spark, sf_dir, "a_rooms_template"), SUGGESTED_ROOMS))]
+    return values[0].unionByName(values[1]).where(F.lower("suggestion").contains(typed)).groupBy("suggestion").agg(F.count("*").alias("n"))
 
 
-SEARCH_SUGGEST_SQL = """
-    SELECT suggestion, count(*) AS n FROM (SELECT unnest([panel_name, description, sheet_title, schedule_type]) AS suggestion FROM schedule_row) WHERE contains(lower(suggestion), 'pan') GROUP BY suggestion"""
+SEARCH_SUGGEST_SQL = f"""
+    SELECT suggestion, count(*) AS n FROM (SELECT unnest([{', '.join(SUGGESTED)}]) AS suggestion FROM schedule_row UNION ALL SELECT unnest([{', '.join(SUGGESTED_ROOMS)}]) FROM a_rooms_template) WHERE contains(lower(suggestion), 'pan') GROUP BY suggestion"""
 
 
 def search_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,7 +273,8 @@ def search_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SEARCH_NEAREST_SQL = """
-    SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)), 5) AS score FROM embeddings WHERE vec_id <> 0 ORDER BY score DESC, vec_id LIMIT 50"""
+    WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), u AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM v)
+    SELECT query_id, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM (SELECT q.vec_id AS query_id, u.vec_id, round(list_dot_product(q.e, u.e), 5) AS score FROM u q JOIN u ON q.vec_id <> u.vec_id WHERE q.vec_id % 20 = 0)) WHERE place <= 50"""
 
 QUERIES = {f.__name__: f for f in (search_filter, search_lexical, search_facets, search_tiers, search_suggest, search_fresh, search_nearest)}
 SQL = {

@@ -66,3 +66,13 @@ def test_unified_table(spark):
     x = drift.unified(df, drift.schema_changes(df), ["record_key", "file_id"])
     assert x.where("f_board IS NOT NULL").count() == 18 and "f_panel" not in x.columns
     assert x.where("n_ckt = 3.0").count() == 2
+
+
+def test_numbers_of_any_length_compare_as_numbers(spark):
+    from pyspark.sql import functions as F
+
+    from sheetloom.operators.drift import plain_decimal
+
+    told = ["007", "+7.0", "-0.00", "1" * 60 + ".5000", "0.1234567890123456789", "1e3", "-2.50E0", "x", "", None, "1.", "1,5"]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(told)], "i int, t string").select("i", plain_decimal(F.col("t")).alias("n")).orderBy("i").select("n").collect()]
+    assert got == ["7", "7", "0", "1" * 60 + ".5", "0.1234567890123456789", "1000", "-2.5", None, None, None, None, None]

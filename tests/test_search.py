@@ -38,3 +38,19 @@ def test_no_vectors(spark):
     assert search.nearest(df, df).count() == 0
     rows = spark.createDataFrame([(i, [float(i % 20), 0.0]) for i in range(1, 61)], SCHEMA)
     assert search.nearest(rows, rows.where("vec_id % 20 = 0")).count() == 0
+
+
+def test_exact_percentiles(spark):
+    import numpy as np
+
+    from sheetloom.plans.metrics import exact_percentiles
+
+    rng = np.random.default_rng(3)
+    groups = {"a": rng.normal(size=3000), "b": np.array([1.0] * 500 + [2.0]), "c": np.array([7.0]), "d": rng.integers(0, 5, 999).astype(float)}
+    rows = [(k, float(v)) for k, vs in groups.items() for v in vs] + [("e", None), (None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: (r["n"], r["p10"], r["p50"], r["p99"]) for r in exact_percentiles(df, "g", "v", (0.1, 0.5, 0.99), steps=20).collect()}
+    assert set(got) == set(groups)
+    for k, vs in groups.items():
+        assert got[k][0] == len(vs) and np.allclose(got[k][1:], np.quantile(vs, (0.1, 0.5, 0.99)))
+    assert exact_percentiles(df.limit(0), "g", "v", (0.5,)).count() == 0

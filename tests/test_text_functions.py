@@ -34,9 +34,9 @@ def test_numbers(spark):
 
 
 def test_json_repair(spark):
-    texts = ['```json\n{"a": 1}\n```', '{"a": [1, 2,], b: 3}', '{"a": {"b": [1', "plain", None, '{"a": "x"\n "b": 2}']
+    texts = ['```json\n{"a": 1}\n```', '{"a": [1, 2,], b: 3}', '{"a": {"b": [1', "plain", None, '{"a": "x"\n "b": 2}', '{"a": [{"b": 1', '[{"a":1', '[{"a": 1}{"a": 2}', '{"see": "x: {y, z: 2}", b: [1,', '{"a": "cut', "", '{"a": 1, "a": 2}']
     got = apply(spark, lambda c: F.to_json(T.safe_json(c)), texts)
-    assert got == ['{"a":1}', '{"a":[1,2],"b":3}', None, None, None, '{"a":"x","b":2}'] or got[2] == '{"a":{"b":[1]}}'
+    assert got == ['{"a":1}', '{"a":[1,2],"b":3}', '{"a":{"b":[1]}}', None, None, '{"a":"x","b":2}', '{"a":[{"b":1}]}', '[{"a":1}]', '[{"a":1},{"a":2}]', '{"b":[1],"see":"x: {y, z: 2}"}', None, None, '{"a":2}']
 
 
 def test_schedule_types(spark):
