@@ -106,13 +106,15 @@ def schema_changes(df: DataFrame, feed: str = "feed_id", file: str = "file_id",
     return renamed.unionByName(removed).unionByName(added).unionByName(typed)
 
 
-def meanings(changes: DataFrame) -> dict[str, str]:
-    """Alias table: each field name that was ever renamed, to the commonest name of its meaning (ties by name).
+def meanings(changes: DataFrame, together: list[frozenset[str]] = ()) -> tuple[dict[str, str], list[tuple[str, str, int]]]:
+    """Alias table: each field name that was ever renamed, to the commonest name of its meaning (ties by name); and the renames that
+    contradict it (old_name, new_name, number of files), which it leaves out.
 
-    The distinct renames are listed on the driver: they are bounded by the vocabulary of field names, not by
-    records or files.
+    Renames unite names, the most frequent first, unless records (sets of names, together) fill both meanings at once: one chance
+    rename can't merge two meanings that live side by side. The distinct renames are listed on the driver: they are bounded by
+    the vocabulary of field names, not by records or files.
     """
-    pairs = changes.where("change_kind = 'renamed'").groupBy("old_name", "new_name").agg(F.count("*").alias("n")).collect()
+    pairs = sorted(((r[0], r[1], r[2]) for r in changes.where("change_kind = 'renamed'").groupBy("old_name", "new_name").agg(F.count("*").alias("n")).collect()), key=lambda p: (-p[2], p[0], p[1]))
     above: dict[str, str] = {}
 
     def root(name: str) -> str:
@@ -121,33 +123,43 @@ def meanings(changes: DataFrame) -> dict[str, str]:
         return name
 
     uses: dict[str, int] = {}
+    refused = []
     for old, new, n in pairs:
-        above[root(old)] = root(new)
         for name in (old, new):
             uses[name] = uses.get(name, 0) + n
+        a, b = root(old), root(new)
+        if a != b and any(a in roots and b in roots for roots in ({root(x) for x in names} for names in together)):
+            refused.append((old, new, n))
+        else:
+            above[a] = b
     best: dict[str, str] = {}
     for name in sorted(uses, key=lambda x: (-uses[x], x)):
         best.setdefault(root(name), name)
-    return {name: best[root(name)] for name in uses}
+    return {name: best[root(name)] for name in uses}, refused
 
 
 def unified(df: DataFrame, changes: DataFrame, keep: list[str], payload: str = "payload") -> DataFrame:
-    """One table: the columns keep and one STRING column f_<name> per meaning; a cast to DOUBLE, n_<name>, follows where
-    most of its values are numbers. Records without a usable payload have nulls; of several aliases in one record the
-    alphabetically first with a value counts."""
-    alias = meanings(changes)
+    """One table: the columns keep, one STRING column f_<name> per meaning, a cast to DOUBLE, n_<name>, where most of its values are
+    numbers, and left_over: values (by their names) of a record that fills several aliases of one meaning, but for the
+    alphabetically first. Records without a usable payload have nulls."""
     entries = F.from_json(F.col(payload), "map<string,variant>")
-    x = df.select(*keep, F.transform_values(entries, lambda k, v: v.cast("string")).alias("_m"))
+    x = df.select(*keep, F.map_filter(F.transform_values(entries, lambda k, v: v.cast("string")), lambda k, v: v.isNotNull()).alias("_m"))
+    renamed = changes.where("change_kind = 'renamed'").select(F.explode(F.array("old_name", "new_name")).alias("n")).distinct()
+    known = [r[0] for r in renamed.collect()]
+    sets = x.select(F.array_sort(F.array_intersect(F.map_keys("_m"), F.array(*[F.lit(n) for n in known]).cast("array<string>"))).alias("s")).where("size(s) > 1").distinct().collect()
+    alias, _ = meanings(changes, [frozenset(r[0]) for r in sets])
     names = [r[0] for r in x.select(F.explode(F.map_keys("_m")).alias("n")).distinct().orderBy("n").collect()]
     groups: dict[str, list[str]] = {}
     for name in names:
         groups.setdefault(alias.get(name, name), []).append(name)
-    columns, taken = {}, set()
+    columns, taken, left = {}, set(), []
     for meaning in sorted(groups):
         label = meaning.lower() if meaning.lower() not in taken else f"{meaning.lower()}_{len(taken)}"
         taken.add(label)
         columns[label] = F.coalesce(*[F.try_element_at("_m", F.lit(n)) for n in groups[meaning]])
-    x = x.select(*keep, *[c.alias(f"f_{label}") for label, c in columns.items()])
+        left += [F.when(F.coalesce(*[F.try_element_at("_m", F.lit(o)) for o in groups[meaning][:i]]).isNotNull() & F.try_element_at("_m", F.lit(n)).isNotNull(), F.lit(n)) for i, n in enumerate(groups[meaning]) if i]
+    over = F.array_compact(F.array(*left)) if left else F.array().cast("array<string>")
+    x = x.select(*keep, *[c.alias(f"f_{label}") for label, c in columns.items()], F.map_filter("_m", lambda k, v: F.array_contains(over, k)).alias("left_over"))
     number = r"^\s*[+-]?\d+(\.\d+)?\s*$"
     if not columns:
         return x

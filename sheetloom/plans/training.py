@@ -123,7 +123,14 @@ def p7_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.unified(records, drift.schema_changes(records, keep=materialise), ["record_no", "feed_id", "file_id", "record_key"])
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_zone_use, p1_zone_estimates, p5_found, p5_basis, p6_found, p6_rows, p6_cells, p6_circuits, p6_tables, p7_found, p7_unified)}
+def p7_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many values each record keeps in the unified table, those left over included: as many as it told."""
+    x = p7_unified(spark, sf_dir)
+    filled = sum((F.col(c).isNotNull().cast("int") for c in x.columns if c.startswith("f_")), F.lit(0))
+    return x.select("record_no", (filled + F.greatest(F.coalesce(F.size("left_over"), F.lit(0)), F.lit(0))).alias("n_values"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_zone_use, p1_zone_estimates, p5_found, p5_basis, p6_found, p6_rows, p6_cells, p6_circuits, p6_tables, p7_found, p7_unified, p7_filled)}
 
 P6_SQL = """
     WITH RECURSIVE n(rec_src, rec_id, v, kind, ptr, around, is_item) AS (
@@ -182,6 +189,8 @@ P7_SQL = """
     UNION ALL SELECT file_id, 'type_changed', field, field FROM x WHERE before = rank - 1 AND kind <> kind_before
     UNION ALL SELECT r.file_id, 'type_changed', old_name, new_name FROM r JOIN ends e ON r.file_id = e.file_id AND r.old_name = e.field JOIN starts s ON r.file_id = s.file_id AND r.new_name = s.field WHERE e.kind <> s.kind"""
 
+P7_FILLED_SQL = """SELECT record_no, CAST(CASE WHEN json_type(payload) = 'OBJECT' THEN len(list_filter(json_keys(payload), lambda k: json_type(payload, '$."' || k || '"') <> 'NULL')) ELSE 0 END AS INT) AS n_values FROM drift_record"""
+
 _DIGITS = "CASE WHEN regexp_matches({0}, '^[0-9]{{1,3}}(,[0-9]{{3}})+(\\.[0-9]+)?$') THEN TRY_CAST(replace({0}, ',', '') AS DOUBLE) ELSE TRY_CAST(replace({0}, ',', '.') AS DOUBLE) END"
 
 
@@ -257,4 +266,4 @@ def _p1_sql() -> str:
     UNION ALL SELECT rec_src, rec_id, CAST(a[1] AS BIGINT) * CASE WHEN length(a[1]) = 10 THEN 1000000 ELSE 1000 END FROM p WHERE a[10] = 'e'"""
 
 
-SQL: dict[str, str] = {"p1_found": _p1_sql(), "p5_found": _p5_sql(), "p6_found": P6_SQL, "p6_rows": P6_ROWS_SQL, "p6_tables": P6_TABLES_SQL, "p6_cells": P6_CELLS_SQL, "p6_circuits": P6_CIRCUITS_SQL, "p7_found": P7_SQL}
+SQL: dict[str, str] = {"p1_found": _p1_sql(), "p5_found": _p5_sql(), "p6_found": P6_SQL, "p6_rows": P6_ROWS_SQL, "p6_tables": P6_TABLES_SQL, "p6_cells": P6_CELLS_SQL, "p6_circuits": P6_CIRCUITS_SQL, "p7_found": P7_SQL, "p7_filled": P7_FILLED_SQL}

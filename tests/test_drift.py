@@ -76,3 +76,16 @@ def test_numbers_of_any_length_compare_as_numbers(spark):
     told = ["007", "+7.0", "-0.00", "1" * 60 + ".5000", "0.1234567890123456789", "1e3", "-2.50E0", "x", "", None, "1.", "1,5"]
     got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(told)], "i int, t string").select("i", plain_decimal(F.col("t")).alias("n")).orderBy("i").select("n").collect()]
     assert got == ["7", "7", "0", "1" * 60 + ".5", "0.1234567890123456789", "1000", "-2.5", None, None, None, None, None]
+
+
+def test_chance_renames_do_not_merge_meanings(spark):
+    """One feed swaps a name by chance; records of others fill both names, so they stay apart. Clashing aliases of a record are kept."""
+    both = [(f"k{i}", {"panel": f"P{i}", "tag": f"T{i}", "note": "n"}) for i in range(9)]
+    moved = [(k, {"board": p["panel"], "tag": p["tag"], "note": "n"}) for k, p in both]
+    chance = [(k, {"panel": p["panel"], "note": "n"}) for k, p in both], [(k, {"tag": p["panel"], "note": "n"}) for k, p in both]
+    clash = [("z", {"board": "B", "panel": "P", "note": "n"})]
+    df = feed(spark, [both, moved]).unionByName(feed(spark, [both, moved], 2, 10)).unionByName(feed(spark, [*chance], 3, 20))
+    x = drift.unified(df, drift.schema_changes(df), ["record_key"])
+    assert {c for c in x.columns if c.startswith("f_")} == {"f_board", "f_tag", "f_note"} and x.where("size(left_over) > 0").count() == 0
+    y = drift.unified(feed(spark, [clash]), drift.schema_changes(feed(spark, [both, moved])), ["record_key"])
+    assert "f_board" in y.columns and "f_panel" in y.columns  # a record that fills both speaks against the rename
