@@ -76,12 +76,14 @@ def pack(docs: DataFrame, specs: DataFrame, key: str = "doc_id", text: str = "te
 
     specs: spec_id, capacity_tokens, separator_tokens; the few specifications are listed on the driver. Only a document longer than the capacity is divided: into
     full containers and a rest that is packed. Null and empty texts hold no tokens and get no container; repeated
-    rows are packed each. Group of a row: hash of its key and size, so a key that many rows share is spread too.
+    rows are packed each. Group of a row: hash of its key, size and number among its equals, so a key that many rows share is spread too
+    and the assignment doesn't depend on how the input is split.
     """
     sized = keep(token_counts(docs, key, text, path).where("n_tokens > 0"))
     groups = max(1, -(-sized.count() // group_items))
-    # the row's own number within its task salts the group: copies of one key don't gather in a group
-    salted = sized.withColumn("group_no", F.pmod(F.xxhash64(key, "n_tokens", F.monotonically_increasing_id()), F.lit(groups)).cast("int"))
+    # a row's number among its equals salts the group: copies of one key don't gather in a group, and file splits don't matter
+    equal = sized.groupBy(key, "n_tokens").agg(F.count("*").alias("_n")).select(key, "n_tokens", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
+    salted = equal.select(key, "n_tokens", F.pmod(F.xxhash64(key, "n_tokens", "_copy"), F.lit(groups)).cast("int").alias("group_no"))
     own = specs.where("capacity_tokens > 0").select("spec_id", "capacity_tokens", F.coalesce("separator_tokens", F.lit(0)).alias("separator_tokens")).distinct().collect()
     kinds = "array<struct<spec_id:{},capacity_tokens:int,separator_tokens:int>>".format(specs.select("spec_id").schema[0].dataType.simpleString())
     each = F.array(*[F.struct(*[F.lit(v) for v in r]) for r in own]).cast(kinds)
