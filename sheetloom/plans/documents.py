@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheetloom.functions import text as T
+from sheetloom.plans.sheets import template_tags
 from sheetloom.tables import table
 
 VARIANTS = "array<variant>"
@@ -85,11 +86,16 @@ CIRCUIT_PAIRS_SQL = """
 
 def room_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First room of each sheet and name, without bogus ones, with tags."""
+    # Fixed value: names that aren't rooms.
     bogus = r"(?i)^\s*ps[\s_-]*\d+\s*$|\barea\s+not\s+in\s+scope\b|^\s*ada\s*$"
     rooms = table(spark, sf_dir, "a_rooms_template").where(~F.coalesce(F.col("room_name"), F.lit("")).rlike(bogus) & ~F.coalesce(F.col("room_id"), F.lit("")).rlike(bogus))
     name = F.regexp_replace(F.regexp_replace(F.upper(F.trim(F.coalesce("room_name", F.lit("")))), "[^A-Z0-9]+", "_"), "^_|_$", "")
-    tags = F.array_compact(F.array(F.when(T.blank_to_null(F.col("metrics.dimensions")).isNotNull(), "dimensions"), F.when(F.size("doors") > 0, "doors"), F.when(T.blank_to_null(F.col("envelope.ceiling_type")).isNotNull(), "finishes"), F.when(F.col("template_status") == "signed_off", "signed_off")))
-    x = rooms.select("project_id", "sheet_number", name.alias("room_slug"), F.struct("room_key", "room_id", F.array_join(F.array_sort(tags), ",").alias("tags")).alias("r"))
+    some = lambda told, **parts: F.when(told, F.struct(*[c.alias(k) for k, c in parts.items()]))
+    ceiling = T.blank_to_null(F.col("envelope.ceiling_type"))
+    template = F.struct(T.blank_to_null(F.col("metrics.dimensions")).alias("dimensions"), some(F.size("doors") > 0, count=F.size("doors")).alias("doors"), some(ceiling.isNotNull(), ceiling=ceiling).alias("finishes"), "template_status")
+    rooms = rooms.select("*", F.inline(F.array(F.struct(F.parse_json(F.to_json(template)).alias("_template")))))
+    tags = template_tags(F.col("_template"))
+    x = rooms.select("project_id", "sheet_number", name.alias("room_slug"), F.struct("room_key", "room_id", F.array_join(tags, ",").alias("tags")).alias("r"))
     return x.groupBy("project_id", "sheet_number", "room_slug").agg(F.min("r").alias("r"), F.count("*").alias("n_same")).select("project_id", "sheet_number", "room_slug", "r.room_key", "r.room_id", "r.tags", "n_same")
 
 
@@ -147,6 +153,7 @@ TITLE_WORDS = {
     "PROJECT": 0.25, "SHEET": 0.15, "DRAWING": 0.10, "DATE": 0.10, "DRAWN": 0.10, "CHECKED": 0.10, "APPROVED": 0.10, "SCALE": 0.10, "TITLE": 0.15, "JOB": 0.10, "NO": 0.05, "NUMBER": 0.05,
     "REVISION": 0.10, "REV": 0.05, "CLIENT": 0.10, "ARCHITECT": 0.10, "ENGINEER": 0.10, "CONTRACTOR": 0.10,
 }
+# Fixed value: forms of sheet numbers in title blocks.
 SHEET_CODE = r"[A-Z]{1,3}[-.]?\d{1,3}(?:\.\d{1,3})?[A-Z]?|SHEET\s*:?\s*[A-Z0-9]|DWG\.?\s*NO\.?\s*:?\s*[A-Z0-9]"
 
 
@@ -155,6 +162,7 @@ def titleblocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("titleblock_text")
     upper, n = F.upper(t), F.length(t)
     score = sum((F.when(upper.contains(w), v).otherwise(0.0) for w, v in TITLE_WORDS.items()), F.lit(0.0))
+    # What a text's length adds.
     score += F.when(n.between(200, 500), 0.25).when(n.between(501, 1000), 0.20).when(n.between(1001, 2000), 0.15).when(n > 2000, 0.05).otherwise(0.0) + F.when(upper.rlike(SHEET_CODE), 0.15).otherwise(0.0)
     text = lambda p: F.nullif(F.trim(F.regexp_extract(t, p, 1)), F.lit(""))
     x = table(spark, sf_dir, "extraction_result").where("trim(titleblock_text) <> ''")
@@ -220,6 +228,7 @@ def table_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much each extracted table looks like a panel's, best first in each extraction; ties by position."""
     tables = table(spark, sf_dir, "extraction_result").select("extraction_id", F.posexplode(F.try_variant_get(F.try_parse_json("tables_json"), "$", VARIANTS)).alias("table_no", "v"))
     t = F.lower(F.to_json("v"))
+    # Words of panel tables with their weights.
     score = F.when(t.rlike("circuit|ckt|breaker|trip"), 5.0).otherwise(0.0) + F.when(t.rlike("load|va|amps"), 3.0).otherwise(0.0) + F.when(t.contains("panel"), 2.0).otherwise(0.0)
     w = Window.partitionBy("extraction_id").orderBy(F.col("score").desc(), "table_no")
     return tables.select("extraction_id", "table_no", score.alias("score")).withColumn("place", F.row_number().over(w))
@@ -291,6 +300,41 @@ FILE_FACTS_SQL = f"""
         nullif(regexp_extract(name, '^([A-Za-z]{{1,3}}[0-9]{{1,3}}(?:\\.[0-9]{{1,2}})?)', 1), '') AS sheet_number, CASE lower(regexp_extract(name, '\\.([A-Za-z0-9]+)$', 1)) {' '.join(f"WHEN '{a}' THEN '{v}'" for a, v in CONTENT_TYPES.items())} ELSE 'application/octet-stream' END AS content_type,
         {_SLUG.format('told', 'general')} || '/' || stem || CASE WHEN name <> '' THEN '/' || name ELSE '' END AS archive_name, {_SLUG.format('told', 'general')} || '/' || stem || '/structured/' || stem || '_structured.json' AS structured_name FROM t"""
 
+# Forms of sheet numbers, of revisions and of street names.
+SHEET_NUMBER, REVISIONS, STREET = r"(?i)^[A-Z]{1,3}\d{1,3}(?:\.\d{1,2})?$", (r"(?i)\bRev(?:ision)?\.?\s*[:\-]?\s*([A-Za-z0-9]+)\b", r"(?i)\b([A-Za-z0-9]+)\s+IFC\b"), r"(?i)\d+\s+([A-Z\s]+?)\s+(?:BLVD|DR|ST|AVE|RD|WAY|LN|CT|PL)"
+PROJECT_LINE = r"(?im)PROJECT(?:[ \t]+NAME|[ \t]+TITLE)?[ \t]*[:\-][ \t]*([^\n]*?[^\n:\- \t][^\n]*)$"
+
+
+def repaired_metadata(df: DataFrame) -> DataFrame:
+    """df (path, titleblock, sheet_number, drawing_number, revision, project_name, project_address, job_number, and any further
+    columns) with these filled from one another: the sheet number from the file's name, the drawing number from the sheet's, a
+    revision that is a sheet number cleared, revision and project name from the title block, the name else from the street or the
+    job. project_source tells of the last two. Nulls and blanks are filled alike."""
+    get = lambda c: F.nullif(F.col(c), F.lit(""))
+    found = lambda c, p: F.nullif(F.regexp_extract(c, p, 1), F.lit(""))
+    x = df.withColumn("sheet_number", F.coalesce(get("sheet_number"), found(T.base_name(F.col("path")), r"^([A-Za-z]{1,3}\d{1,3}(?:\.\d{1,2})?)")))
+    wrong = F.trim("revision").rlike(SHEET_NUMBER) | (F.col("revision") == F.col("sheet_number"))
+    t = F.col("titleblock")
+    x = x.withColumns({"drawing_number": F.coalesce(get("drawing_number"), "sheet_number"), "revision": F.coalesce(F.when(~F.coalesce(wrong, F.lit(False)), get("revision")), *[found(t, p) for p in REVISIONS])})
+    name = F.coalesce(get("project_name"), F.nullif(F.btrim(found(t, PROJECT_LINE), F.lit(" \t\r:-")), F.lit("")))
+    street = F.initcap(F.trim(found(F.col("project_address"), STREET)))
+    by_street, by_job = F.trim(F.concat_ws(" ", street, get("job_number"))), F.concat(F.lit("Project "), get("job_number"))
+    source = F.when(name.isNotNull(), F.lit(None).cast("string")).when(street.isNotNull(), "derived_from_address").when(get("job_number").isNotNull(), "derived_from_job_no")
+    return x.withColumns({"project_source": source, "project_name": F.coalesce(name, F.when(street.isNotNull(), by_street), by_job)})
+
+
+def extracted_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata of each extraction as its file's name and title block tell them; the project's number serves as job."""
+    none = F.lit(None).cast("string")
+    x = table(spark, sf_dir, "extraction_result").select("extraction_id", F.col("pdf_path").alias("path"), F.col("titleblock_text").alias("titleblock"), *[none.alias(c) for c in ("sheet_number", "drawing_number", "revision", "project_name", "project_address")], F.col("project_id").alias("job_number"))
+    return repaired_metadata(x).drop("path", "titleblock", "project_address")
+
+
+EXTRACTED_METADATA_SQL = f"""
+    WITH x AS (SELECT extraction_id, project_id AS job_number, nullif(regexp_extract(regexp_extract(pdf_path, '[^/]*$'), '^([A-Za-z]{{1,3}}[0-9]{{1,3}}(?:\\.[0-9]{{1,2}})?)', 1), '') AS n, titleblock_text AS t FROM extraction_result),
+    y AS (SELECT *, nullif(trim(regexp_extract(t, '{PROJECT_LINE}', 1), ' :-' || chr(9) || chr(13)), '') AS p FROM x)
+    SELECT extraction_id, job_number, n AS sheet_number, n AS drawing_number, coalesce({', '.join(f"nullif(regexp_extract(t, '{p}', 1), '')" for p in REVISIONS)}) AS revision, coalesce(p, 'Project ' || nullif(job_number, '')) AS project_name, CASE WHEN p IS NULL AND nullif(job_number, '') IS NOT NULL THEN 'derived_from_job_no' END AS project_source FROM y"""
+
 # Marker lines that go before a text with any of these words, the last one first in the text; and the words by which the
 # tables of a discipline are ordered.
 MARKERS = {
@@ -357,10 +401,10 @@ TABLE_ORDER_SQL = "SELECT *, CAST(row_number() OVER (PARTITION BY extraction_id,
 ) + ")"
 
 
-QUERIES = {f.__name__: f for f in (coverage, latest_rows, drawing_types, row_identifiers, circuit_pairs, room_records, ocr_decisions, panel_lines, parse_status, panel_headers, file_facts, marked_texts, table_order, titleblocks, panel_circuits_per_line, panel_markers, table_scores)}
+QUERIES = {f.__name__: f for f in (coverage, latest_rows, drawing_types, row_identifiers, circuit_pairs, room_records, ocr_decisions, panel_lines, parse_status, panel_headers, file_facts, extracted_metadata, marked_texts, table_order, titleblocks, panel_circuits_per_line, panel_markers, table_scores)}
 SQL = {
     "coverage": COVERAGE_SQL, "latest_rows": LATEST_ROWS_SQL,
     "drawing_types": DRAWING_TYPES_SQL, "row_identifiers": ROW_IDENTIFIERS_SQL, "circuit_pairs": CIRCUIT_PAIRS_SQL, "room_records": ROOM_RECORDS_SQL, "ocr_decisions": OCR_DECISIONS_SQL, "panel_lines": PANEL_LINES_SQL,
     "titleblocks": TITLEBLOCKS_SQL,
-    "panel_circuits_per_line": PANEL_CIRCUITS_SQL, "panel_headers": PANEL_HEADERS_SQL, "file_facts": FILE_FACTS_SQL, "marked_texts": MARKED_TEXTS_SQL, "table_order": TABLE_ORDER_SQL, "panel_markers": PANEL_MARKERS_SQL, "table_scores": TABLE_SCORES_SQL,
+    "panel_circuits_per_line": PANEL_CIRCUITS_SQL, "panel_headers": PANEL_HEADERS_SQL, "file_facts": FILE_FACTS_SQL, "extracted_metadata": EXTRACTED_METADATA_SQL, "marked_texts": MARKED_TEXTS_SQL, "table_order": TABLE_ORDER_SQL, "panel_markers": PANEL_MARKERS_SQL, "table_scores": TABLE_SCORES_SQL,
 }
