@@ -27,14 +27,16 @@ def exact_percentiles(df: DataFrame, by: str, value: str, shares: tuple[float, .
     """
     x = df.where(F.col(value).isNotNull() & F.col(by).isNotNull()).select(F.col(by).alias("_by"), F.col(value).cast("double").alias("_v"))
     cuts = x.groupBy("_by").agg(F.count("*").alias("n"), F.percentile_approx("_v", [i / steps for i in range(1, steps)], 10_000).alias("_cuts"))
-    placed = x.join(F.broadcast(cuts) if cuts.limit(10_001).count() <= 10_000 else cuts, "_by").select("_by", "n", "_v", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_range"))
+    few = cuts.limit(10_001).count() <= 10_000  # groups; what is sent to all tasks grows with their number alone
+    sent = F.broadcast if few else (lambda df: df)
+    placed = x.join(sent(cuts), "_by").select("_by", "n", "_v", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_range"))
     counts = placed.groupBy("_by", "n", "_range").agg(F.count("*").alias("_in"))
     upto = F.sum("_in").over(Window.partitionBy("_by").orderBy("_range"))
     counts = counts.withColumn("_before", upto - F.col("_in"))
     ranks = F.explode(F.array_distinct(F.flatten(F.array(*[F.array(F.floor((F.col("n") - 1) * p), F.ceil((F.col("n") - 1) * p)) for p in shares])))).alias("_rank")
     wanted = counts.select("_by", "_range", "_before", "_in", ranks).where("_rank >= _before AND _rank < _before + _in")
-    held = placed.join(F.broadcast(wanted.select("_by", "_range", "_before").distinct()), ["_by", "_range"]).withColumn("_rank", F.row_number().over(Window.partitionBy("_by", "_range").orderBy("_v")) - 1 + F.col("_before"))
-    found = held.join(F.broadcast(wanted.select("_by", "_rank").distinct()), ["_by", "_rank"]).groupBy("_by", "n").agg(F.map_from_entries(F.collect_list(F.struct(F.col("_rank").cast("bigint").alias("k"), "_v"))).alias("_at"))
+    held = placed.join(sent(wanted.select("_by", "_range", "_before").distinct()), ["_by", "_range"]).withColumn("_rank", F.row_number().over(Window.partitionBy("_by", "_range").orderBy("_v")) - 1 + F.col("_before"))
+    found = held.join(sent(wanted.select("_by", "_rank").distinct()), ["_by", "_rank"]).groupBy("_by", "n").agg(F.map_from_entries(F.collect_list(F.struct(F.col("_rank").cast("bigint").alias("k"), "_v"))).alias("_at"))
     out = []
     for p in shares:
         at = (F.col("n") - 1) * p
