@@ -37,15 +37,17 @@ LIGATURES = "[ﬀ-ﬆ]"
 HELD = 300_000
 #: Letters of a word up to which every pair of confusions is tried; longer words are compared by what confusions leave alike.
 TRIED = 40
+_WORD, _DIGITS = re.compile(r"[^\W\d_][\w+'-]*"), re.compile(r"\d+")
 # Fixed value: the form of sheet codes, tags and ratings, which a misread word in capitals may share.
 CODE = re.compile(r"[A-Z]{1,3}-?\d[\d.]*[A-Z]?|\d+[A-Z]{0,2}")
 
 
+_MASKED, _CONFUSED = re.compile(r"\b[a-z]{1,3}-?\d[\d.]*[a-z]?\b|\d+(?=[^a-z]|$)"), str.maketrans("0156à+q7", "olsbatgt")
+
+
 def pattern(line: str) -> str:
     """What lines of one running header share: codes and numbers masked, letters that scanners confuse made alike."""
-    s = line.strip().lower()
-    s = re.sub(r"\b[a-z]{1,3}-?\d[\d.]*[a-z]?\b|\d+(?=[^a-z]|$)", "#", s)
-    return re.sub(r"\s+", " ", s.translate(str.maketrans("0156à+q7", "olsbatgt"))).replace("rn", "m")
+    return " ".join(_MASKED.sub("#", line.lower()).translate(_CONFUSED).split()).replace("rn", "m")
 
 
 def pattern_id(line: str) -> int:
@@ -98,9 +100,9 @@ def features(text: str, counts: list[dict] | None, n_all: int) -> np.ndarray:
         share = (c["n_docs"] / max(1, n_all)) if c else 0.0
         number = bool(PAGE_NUMBER.match(s))
         before, after = (lines[filled[k - 1]].strip() if k else ""), (lines[filled[k + 1]].strip() if k + 1 < len(filled) else "")
-        words = re.findall(r"[^\W\d_][\w+'-]*", s)
-        small = sum(w[0].islower() for w in words)
-        row = ("|" in s or "—" in s) and len(re.findall(r"\d+", s)) > 1
+        words = _WORD.findall(s)
+        small = sum([w[0].islower() for w in words])
+        row = ("|" in s or "—" in s) and len(_DIGITS.findall(s)) > 1
         shape = 0 if number else 1 if HEADING.match(s) else 2 if row else 3 if TITLE.match(s) else 4 if s[0].islower() or s.rsplit(" ", 1)[-1] in LINKING else 5 if len(words) >= 4 and small >= 0.5 * len(words) else 6
         end = 0 if s[-1] in ".;:" else 1 if s[-1] in "-," else 2 if s[-1].isdigit() else 3
         size = min(3, int(4 * len(s) / max(1, wide)))
@@ -205,7 +207,7 @@ class LineModel:
 
 
 LEADING, TRAILING, HYPHENS = "([\"'“”", ".,;:)]?!\"'“”", "-‐\u00ad"
-_SPACES, _LETTER, _LIGATURE = re.compile(r"[\f\r\t ]+"), re.compile(r"[^\W\d_]"), re.compile(LIGATURES)
+_BLANK, _LETTER, _LIGATURE = re.compile(r"[\f\r\t]"), re.compile(r"[^\W\d_]"), re.compile(LIGATURES)
 _PIECE = re.compile(r"[^\W\d_]|\d+")
 
 
@@ -215,7 +217,10 @@ def bare(token: str) -> str:
 
 
 def tokens_of(line: str) -> list[str]:
-    return [t for t in _SPACES.split(line) if t]
+    """Pieces between blanks, tabs and page feeds."""
+    if "\f" in line or "\t" in line or "\r" in line:
+        line = _BLANK.sub(" ", line)
+    return [t for t in line.split(" ") if t]
 
 
 def ends_divided(token: str) -> bool:
