@@ -51,7 +51,7 @@ def test_filter_language(spark):
     assert ask("v ge 1 and not (key/panel eq 'S2')") == [2]
     assert ask("name eq null or v gt 2.0") == [1, 2]
     assert ask("id eq 1 or id eq 2 and v lt 0.5") == [1]
-    for bad in ("", "id", "id eq", "id eq 1 and", "(id eq 1", "id eq 1)", "drop table"):
+    for bad in ("", "id", "id eq", "id eq 1 and", "(id eq 1", "id eq 1)", "drop table", "v gt null", "name le null"):
         with pytest.raises(ValueError):
             parse_filter(bad)
 
