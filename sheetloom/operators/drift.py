@@ -29,9 +29,11 @@ def exploded_fields(df: DataFrame, feed: str, file: str, file_no: str, record_ke
     kind = (
         F.when(told.startswith("ARRAY"), "array").when(told.startswith("OBJECT"), "object").when(told == "BOOLEAN", "boolean").when(told == "STRING", "string").when(told != "VOID", "number")
     )
-    text = F.col("v").cast("string")
-    number = plain_decimal(text)
-    return x.select("feed", "file_id", "file_no", "record_key", "field", kind.alias("kind"), F.coalesce(number, text).alias("val"))
+    # inline() of one element keeps the optimizer from copying what was read into every later use
+    x = x.select("feed", "file_id", "file_no", "record_key", "field", F.inline(F.array(F.struct(kind.alias("kind"), F.col("v").cast("string").alias("_text")))))
+    text = F.col("_text")
+    usual = text.rlike(r"^[1-9][0-9]*$") | ~text.rlike(r"^\s*[+-]?[0-9]")
+    return x.select("feed", "file_id", "file_no", "record_key", "field", "kind", F.when(usual, text).otherwise(F.coalesce(plain_decimal(text), text)).alias("val"))
 
 
 def lifespans(fields: DataFrame) -> DataFrame:
@@ -51,12 +53,13 @@ def file_ranks(df: DataFrame, feed: str, file: str, file_no: str) -> DataFrame:
     return files.select("feed", "file_id", F.row_number().over(w).alias("file_rank"), F.lead("file_id").over(w).alias("next_file"))
 
 
-def starts_and_ends(catalogue: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def starts_and_ends(catalogue: DataFrame, files: DataFrame, keep=lambda x: x) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Islands of consecutive files per feed and field: (starts, ends, kept). A start is a field's first file
     after one without it, an end is logged at the file that lacks it, kept are pairs of consecutive files."""
     x = catalogue.join(files, ["feed", "file_id"])
     w = Window.partitionBy("feed", "field").orderBy("file_rank")
     x = x.withColumns({"before": F.lag("file_rank").over(w), "after": F.lead("file_rank").over(w), "kind_before": F.lag("kind").over(w)})
+    x = keep(x)
     starts = x.where((F.col("file_rank") > 1) & (F.col("before").isNull() | (F.col("before") < F.col("file_rank") - 1))).select("feed", "file_id", "file_rank", "field", "kind")
     ends = x.where(F.col("next_file").isNotNull() & (F.col("after").isNull() | (F.col("after") > F.col("file_rank") + 1))).select("feed", F.col("next_file").alias("file_id"), (F.col("file_rank") + 1).alias("file_rank"), "field", "kind", F.col("file_id").alias("prev_file"))
     kept = x.where(F.col("before") == F.col("file_rank") - 1).select("feed", "file_id", "field", "kind", "kind_before")
@@ -88,12 +91,12 @@ def schema_changes(df: DataFrame, feed: str = "feed_id", file: str = "file_id",
 
     A field is in a file if any record has its key. Fields whose values are all null have no kind and no change
     of it. Repeated records count once for renames. A feed's first file has no changes; rows with a null feed or
-    file are left out; an empty table has none. keep: called with the exploded fields, to write them once.
+    file are left out; an empty table has none. keep: called with the exploded fields, the
+    catalogue and the renames, to write each once.
     """
     usable = df.where(F.col(feed).isNotNull() & F.col(file).isNotNull())
     fields = keep(exploded_fields(usable, feed, file, file_no, record_key, payload))
-    catalogue, files = keep(lifespans(fields)), file_ranks(usable, feed, file, file_no)
-    starts, ends, kept = starts_and_ends(catalogue, files)
+    starts, ends, kept = starts_and_ends(lifespans(fields), file_ranks(usable, feed, file, file_no), keep)
     pairs = keep(renames(fields, starts, ends))
     none = F.lit(None).cast("string")
     renamed = pairs.join(ends.select("file_id", F.col("field").alias("old_name"), F.col("kind").alias("old_kind")), ["file_id", "old_name"]).join(starts.select("file_id", F.col("field").alias("new_name"), F.col("kind").alias("new_kind")), ["file_id", "new_name"])
