@@ -42,17 +42,24 @@ def pipe_size(c: Column) -> Column:
 
 def circuit_record(entries: Column) -> Column:
     """A circuit (map of names to text) with its fields under one name each: poles whole, loads as numbers."""
-    told = normalised(entries, CIRCUIT_ALIASES | LOAD_ALIASES)
-    poles = F.regexp_extract(told["poles"], r"^\s*([+-]?\d+)(?:\s|$)", 1).try_cast("int")
-    return F.struct(*[told[k].alias(k) for k in ("circuit", "load_name", "trip")], poles.alias("poles"), *[digits_number(told[k]).alias(k) for k in LOAD_ALIASES])
+
+    def record(told: Column) -> Column:
+        poles = F.regexp_extract(told["poles"], r"^\s*([+-]?\d+)(?:\s|$)", 1).try_cast("int")
+        return F.struct(*[told[k].alias(k) for k in ("circuit", "load_name", "trip")], poles.alias("poles"), *[digits_number(told[k]).alias(k) for k in LOAD_ALIASES])
+
+    # a lambda's variable is evaluated once, whatever uses it
+    return F.element_at(F.transform(F.array(normalised(entries, CIRCUIT_ALIASES | LOAD_ALIASES)), record), 1)
 
 
 def normalised(entries: Column, aliases: dict[str, list[str]], last_wins: bool = False) -> Column:
     """Struct of the alias table's fields, each from the first (or last) alias in table order that entries (a map of
     names to text) has with a filled value; names are compared without case."""
-    lowered = F.map_from_entries(F.array_sort(F.transform(F.array_distinct(F.transform(F.map_keys(entries), F.lower)), lambda k: F.struct(k.alias("k"), F.array_min(F.filter(F.map_keys(entries), lambda n: F.lower(n) == k)).alias("n")))))
-    fields = []
-    for target, names in aliases.items():
-        order = [n.lower() for n in (reversed(names) if last_wins else names)]
-        fields.append(F.coalesce(*[F.nullif(F.trim(F.try_element_at(entries, F.try_element_at(lowered, F.lit(n)))), F.lit("")) for n in order]).alias(target))
-    return F.struct(*fields)
+    names_of = F.array_distinct(F.transform(F.map_keys(entries), F.lower))
+    # of names equal but for case the alphabetically first counts
+    lowered = F.map_from_arrays(names_of, F.transform(names_of, lambda k: F.element_at(entries, F.array_min(F.filter(F.map_keys(entries), lambda n: F.lower(n) == k)))))
+
+    def fields(m: Column) -> Column:
+        order = {target: [n.lower() for n in (reversed(names) if last_wins else names)] for target, names in aliases.items()}
+        return F.struct(*[F.coalesce(*[F.nullif(F.trim(F.try_element_at(m, F.lit(n))), F.lit("")) for n in names]).alias(target) for target, names in order.items()])
+
+    return F.element_at(F.transform(F.array(lowered), fields), 1)

@@ -105,6 +105,16 @@ def _chunk_rows(docs: DataFrame) -> DataFrame:
     return own.unionByName(listed)
 
 
+def _notes(docs: DataFrame) -> DataFrame:
+    """state_id and body of each sheet's notes."""
+    notes = docs.select("state_id", F.inline(F.array(F.struct(F.coalesce(*[F.when(~F.coalesce(F.try_variant_get("doc", f"$.{k}", "string"), F.lit("x")).isin("", "[]", "{}"), F.try_variant_get("doc", f"$.{k}", "variant")) for k in ("notes", "NOTES", "general_notes")]).alias("v")))))
+    filled = lambda c: F.filter(c, lambda s: s.isNotNull() & (s != "") & (s != "[]"))
+    listed = F.array_join(F.transform(filled(F.transform(F.try_variant_get("v", "$", VARIANTS), lambda x: F.try_variant_get(x, "$", "string"))), lambda s: F.trim(s)), "\n")
+    keyed = F.array_join(F.transform(F.filter(F.map_entries(F.try_variant_get("v", "$", "map<string,string>")), lambda e: e["value"].isNotNull() & (e["value"] != "")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\n")
+    said = F.coalesce(listed, keyed, F.trim(F.try_variant_get("v", "$", "string")))
+    return notes.select("state_id", said.alias("body")).where("body <> ''")
+
+
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """state_id, kind_no, chunk_type, json_ptr, n_rows, content of each sheet's chunks."""
     docs = _docs(spark, sf_dir).where("doc IS NOT NULL")
@@ -120,12 +130,7 @@ def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheets = _metadata(docs, "state_id", "doc").select("state_id", "sheet_number", "project_id", "job_number", "page", F.try_variant_get("doc", "$.tenant_id", "string").alias("tenant"))
     body = F.array_join(F.transform(F.filter(F.transform(F.slice("lines", 1, MAX_LINES), lambda x: x["line"]), lambda s: s.isNotNull()), lambda s: F.concat(F.lit("- "), s)), "\n")
     schedules = first.select("state_id", number.alias("kind_no"), name.alias("chunk_type"), "json_ptr", F.size("lines").alias("n_rows"), body.alias("body"))
-    notes = docs.select("state_id", F.inline(F.array(F.struct(F.coalesce(*[F.when(~F.coalesce(F.try_variant_get("doc", f"$.{k}", "string"), F.lit("x")).isin("", "[]", "{}"), F.try_variant_get("doc", f"$.{k}", "variant")) for k in ("notes", "NOTES", "general_notes")]).alias("v")))))
-    filled = lambda c: F.filter(c, lambda s: s.isNotNull() & (s != "") & (s != "[]"))
-    listed = F.array_join(F.transform(filled(F.transform(F.try_variant_get("v", "$", VARIANTS), lambda x: F.try_variant_get(x, "$", "string"))), lambda s: F.trim(s)), "\n")
-    keyed = F.array_join(F.transform(F.filter(F.map_entries(F.try_variant_get("v", "$", "map<string,string>")), lambda e: e["value"].isNotNull() & (e["value"] != "")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\n")
-    said = F.coalesce(listed, keyed, F.trim(F.try_variant_get("v", "$", "string")))
-    notes = notes.select("state_id", F.lit(3).alias("kind_no"), F.lit("notes").alias("chunk_type"), F.lit("/notes").alias("json_ptr"), F.lit(None).cast("int").alias("n_rows"), said.alias("body")).where("body <> ''")
+    notes = _notes(docs).select("state_id", F.lit(3).alias("kind_no"), F.lit("notes").alias("chunk_type"), F.lit("/notes").alias("json_ptr"), F.lit(None).cast("int").alias("n_rows"), "body")
     general = docs.select("state_id", F.lit(4).alias("kind_no"), F.lit("general").alias("chunk_type"), F.lit("/content").alias("json_ptr"), F.lit(None).cast("int").alias("n_rows"), F.trim(F.coalesce(*[F.nullif(F.when(F.schema_of_variant(F.try_variant_get("doc", f"$.{k}", "variant")) == "STRING", F.try_variant_get("doc", f"$.{k}", "string")), F.lit("")) for k in ("content", "CONTENT")])).alias("body")).where("body <> ''")
     x = schedules.unionByName(notes).unionByName(general).join(sheets, "state_id")
     head = F.when(F.col("chunk_type") == "notes", F.concat("sheet_number", F.lit(" notes"))).when(F.col("chunk_type") == "general", F.concat("sheet_number", F.lit(" general context"))).otherwise(F.concat("sheet_number", F.lit(" "), F.initcap(F.replace(F.col("chunk_type"), F.lit("_"), F.lit(" "))), F.lit(" ("), "n_rows", F.lit(" rows)")))
@@ -145,8 +150,10 @@ def sheet_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sheet_note_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The notes among the chunks."""
-    return _chunks(spark, sf_dir).where("chunk_type = 'notes'").select("state_id", "content")
+    """The text of the notes among the chunks."""
+    docs = _docs(spark, sf_dir).where("doc IS NOT NULL")
+    x = _notes(docs).join(_metadata(docs, "state_id").select("state_id", "sheet_number"), "state_id")
+    return x.select("state_id", _truncated(F.concat("sheet_number", F.lit(" notes\n"), "body")).alias("content"))
 
 
 def sheet_chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
